@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import exact_dedup, line_dedup, simhash
+from corpusloom.llm import bpe, decontaminate, exact_dedup, line_dedup, quality, simhash
 from corpusloom.llm._common import table
 
 
+def op1_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    predicted = F.when(F.col("_score") >= quality.THRESHOLD, 1).otherwise(0)
+    return scored.select("doc_id", quality.held_out().alias("held_out"), F.col("_score").alias("score"), predicted.alias("predicted"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -19,9 +26,27 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), kept)
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"), with_ids=False)
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_content_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op4_line_dedup, op9_content_sort_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_neighbour_quality,
+        op2_simhash_near_dedup,
+        op4_line_dedup,
+        op5_byte_bpe,
+        op6_benchmark_decontamination,
+        op9_content_sort_dedup,
+    )
+}
 SQL = {"op4_line_dedup": line_dedup.SQL, "op9_content_sort_dedup": exact_dedup.SQL}
