@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, decontaminate, exact_dedup, line_dedup, quality, simhash
+from corpusloom.llm import bpe, decontaminate, exact_dedup, line_dedup, quality, simhash, suffix_dedup
 from corpusloom.llm._common import table
 
 
@@ -20,6 +20,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.drop_lines(table(spark, sf_dir, "documents"))
     kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
@@ -43,6 +47,7 @@ QUERIES = {
     for f in (
         op1_neighbour_quality,
         op2_simhash_near_dedup,
+        op3_suffix_array_dedup,
         op4_line_dedup,
         op5_byte_bpe,
         op6_benchmark_decontamination,
