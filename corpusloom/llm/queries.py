@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, decontaminate, exact_dedup, line_dedup, quality, simhash, suffix_dedup
+from corpusloom.llm import bpe, decontaminate, exact_dedup, html_text, line_dedup, pii, quality, sharding, simhash, suffix_dedup
 from corpusloom.llm._common import table
 
 
@@ -38,10 +38,23 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_tag_path_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op8_size_tiered_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, version = sharding.shard(table(spark, sf_dir, "documents"))
+    return store.read(version).select("doc_id", F.col("_shard").alias("shard"), F.lit(version).alias("version"), "_shard_bytes", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op9_content_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -51,7 +64,10 @@ QUERIES = {
         op4_line_dedup,
         op5_byte_bpe,
         op6_benchmark_decontamination,
+        op7_tag_path_html,
+        op8_size_tiered_shards,
         op9_content_sort_dedup,
+        op10_weak_supervision_pii,
     )
 }
 SQL = {"op4_line_dedup": line_dedup.SQL, "op9_content_sort_dedup": exact_dedup.SQL}
