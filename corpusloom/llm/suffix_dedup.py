@@ -6,7 +6,7 @@ that two documents share can repeat. That makes three passes over chunks of abou
 1. Each chunk sends the hashes of its grams, once each, to buckets; a bucket answers each chunk which of them are shared.
 2. Each chunk sends the bytes around shared grams (the context; equal contexts once, with their least id) to the buckets.
    A bucket sorts all suffixes of its contexts that start a window: multikey quicksort, with characters of eight bytes, to
-   the shallow depth of 24 bytes, leaving out what only one document holds; then blind tries order the groups whose members
+   the shallow depth of 40 bytes, leaving out what only one document holds; then blind tries order the groups whose members
    still differ. Neighbours with 50 bytes in common form a class, and a window is a repeat if its class has a smaller id.
    The bucket answers each chunk with a bit per window.
 3. Each chunk marks the bytes that repeated windows cover.
@@ -32,7 +32,7 @@ CONTEXT = GRAM + 2 * SPAN
 WIDTH = CONTEXT + 2  # and the first and last window that a context has
 CHUNK, SEGMENT = 1_000_000, 1 << 19
 #: Bytes of text for each bucket, and the size of a group in which a suffix's depth is shallow.
-BUCKET_BYTES, SHALLOW = 12_000_000, 24
+BUCKET_BYTES, SHALLOW = 12_000_000, 40
 NO_ID = np.iinfo(np.int64).max
 
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -106,16 +106,20 @@ class Chunk:
     def contexts(self, shared: np.ndarray, buckets: int):
         """Distinct contexts of the shared grams, by bucket: (n, WIDTH) bytes, bucket of each, least id; and for each occurrence
         its place, first and last window, its context and its id."""
-        held = np.isin(self.hashes, shared) & (self.ends[self.doc] - self.starts[self.doc] >= LENGTH) if len(self.hashes) else np.zeros(0, bool)
+        shared = np.sort(shared)
+        held = np.zeros(len(self.hashes), bool)
+        if len(shared) and len(held):
+            held = shared[np.minimum(np.searchsorted(shared, self.hashes), len(shared) - 1)] == self.hashes
+            held &= self.ends[self.doc] - self.starts[self.doc] >= LENGTH
         at, doc, h = self.at[held], self.doc[held], self.hashes[held]
         first = np.maximum(0, SPAN - (self.ends[doc] - at - GRAM)).astype(np.int64)  # bytes left of the gram, at least and at most
         last = np.minimum(SPAN, at - self.starts[doc]).astype(np.int64)
         rows = np.zeros((len(at), WIDTH), np.uint8)
         padded = np.concatenate((np.zeros(SPAN, np.uint8), self.text, np.zeros(SPAN + GRAM, np.uint8)))
-        for o in range(CONTEXT):
-            rows[:, o] = padded[at + o]
+        rows[:, :CONTEXT] = np.lib.stride_tricks.sliding_window_view(padded, CONTEXT)[at]
+        edge = np.flatnonzero((first > 0) | (last < SPAN))  # a document begins or ends here
         column = np.arange(CONTEXT)
-        rows[:, :CONTEXT][(column < (SPAN - last)[:, None]) | (column >= CONTEXT - first[:, None])] = 0
+        rows[edge, :CONTEXT] *= (column >= (SPAN - last[edge])[:, None]) & (column < CONTEXT - first[edge][:, None])
         rows[:, CONTEXT], rows[:, CONTEXT + 1] = first, last
         bucket = (h % np.uint64(buckets)).astype(np.int64)
         digest = _row_digest(rows)
@@ -253,26 +257,26 @@ def repeated(rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
     starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.zeros(0, np.int64)
     # groups whose members agree to the end are classes already
     differs = np.zeros(len(owner), bool)
-    for depth in (24, 32, 40, 42):
+    for depth in (SHALLOW, LENGTH - 8):
         key = word(depth, owner, window)
         differs |= key != np.repeat(key[starts], np.diff(np.append(starts, len(key))))
     mixed = np.add.reduceat(differs, starts) > 0 if len(starts) else np.zeros(0, bool)
     ends = np.append(starts[1:], len(owner))
-    own = ids[owner]
+    own, raw = ids[owner], flat.tobytes()
     if len(starts):
         least = np.repeat(np.where(mixed, np.iinfo(np.int64).min, np.minimum.reduceat(own, starts)), ends - starts)
         hit = (own > least) & ~np.repeat(mixed, ends - starts)
         np.bitwise_or.at(out, owner[hit], np.int64(1) << window[hit].astype(np.int64))
-    for a, b in zip(starts[mixed], ends[mixed]):
-        trie = BlindTrie()
-        for k in range(a, b):
-            begin = owner[k] * stride + SPAN - window[k]
-            trie.add(flat[begin : begin + LENGTH].tobytes(), k)
+    for a, b in zip(starts[mixed].tolist(), ends[mixed].tolist()):
+        trie, begins, whose = BlindTrie(), (owner[a:b] * stride + SPAN - window[a:b]).tolist(), own[a:b].tolist()
+        for k, begin in enumerate(begins):
+            trie.add(raw[begin : begin + LENGTH], k)
         for members in trie.classes():
-            small = own[members].min()
-            for k in members:
-                if own[k] > small:
-                    out[owner[k]] |= 1 << int(window[k])
+            if len(members) > 1:
+                small = min(whose[k] for k in members)
+                for k in members:
+                    if whose[k] > small:
+                        out[owner[a + k]] |= 1 << int(window[a + k])
     # those that a leader of the same id stands for share its windows
     return out | np.where(ids == ids[leader], out[leader], 0)
 
@@ -363,7 +367,12 @@ def _answer_grams(key, data):
     every = np.concatenate(lists)
     plain, times = np.unique(every & ~np.uint64(1), return_counts=True)
     shared = np.union1d(plain[times > 1], every[(every & np.uint64(1)) == 1] & ~np.uint64(1))
-    out = [(c, _packed(found)) for c, h in zip(data.column("chunk").to_pylist(), lists) if len(found := np.intersect1d(h & ~np.uint64(1), shared))]
+    out = []
+    for c, h in zip(data.column("chunk").to_pylist(), lists):
+        h = h & ~np.uint64(1)
+        at = np.minimum(np.searchsorted(shared, h), len(shared) - 1)
+        if len(shared) and len(found := h[shared[at] == h]):
+            out.append((c, _packed(found)))
     return pa.table({"chunk": pa.array([x[0] for x in out], pa.string()), "shared": pa.array([x[1] for x in out], pa.binary())})
 
 
