@@ -1,6 +1,485 @@
-"""The queries of the engine's own operators, and the SQL that each must equal."""
+"""The queries of the engine's own operators, and the DuckDB SQL that each must equal.
+
+The corpus is documents, spelt in Han characters one for one and given lines that the cleaning rules look for; scores come
+from the deterministic scorer.
+"""
 
 from __future__ import annotations
 
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusloom.functions import text as t
+from corpusloom.functions.rouge import rouge_l_udf
+from corpusloom.operators import clean, dedup, metrics, rules, scoring
+from corpusloom.sources.io import table, union_sources
+
+LATIN, HAN_FOR = "abcdefghijklmnopqrstuvwxyz", "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余"
+HEADS = ("作者：某某", "_ _ 标题 _ _", "正文 a@b.com 联系", "**想涨知识**", "去阅读", "普通的一行", "封面来源：网络", "以下文章来源于别处")
+TAILS = ("点个在看", "[1] 文献 http://x.cn/1", "参考文献", "微信扫一扫 关注", "修改于", "结尾", "***")
 QUERIES: dict = {}
 SQL: dict = {}
+
+ARTICLES = f"""
+articles AS (
+  SELECT doc_id, source || '_' || doc_id || '.md' AS name, lang, translate(lower(text), '{LATIN}', '{HAN_FOR}') AS han,
+    ({"[" + ", ".join(map(repr, HEADS)) + "]"})[(doc_id % 8 + 1)::INT] || chr(10) || translate(lower(text), '{LATIN}', '{HAN_FOR}') || chr(10) || chr(10) || chr(10) || chr(10) ||
+    ({"[" + ", ".join(map(repr, TAILS)) + "]"})[(doc_id % 7 + 1)::INT] || chr(10) || '尾行' || (doc_id % 3)::VARCHAR AS body
+  FROM documents)"""
+COUNT = "len(regexp_replace({}, '[^\\x{{4e00}}-\\x{{9fff}}]', '', 'g'))"
+SCORES = f"""{ARTICLES},
+scored AS (
+  SELECT name AS file, ({COUNT.format("han")})::INT AS chars, ('0x' || substr(md5(name), 1, 1))::INT % 5 + 1 AS depth, ('0x' || substr(md5(name), 2, 1))::INT % 5 + 1 AS evidence,
+    ({list(scoring.GENRES)})[('0x' || substr(md5(name), 3, 1))::INT % 5 + 1] AS genre, ({list(scoring.TOPICS)})[('0x' || substr(md5(name), 4, 1))::INT % 6 + 1] AS topic
+  FROM articles)"""
+
+
+def re2(pattern: str) -> str:
+    """A rule's pattern for DuckDB, whose \\w is ASCII alone."""
+    return pattern.replace(r"[\w.-]", r"[\p{L}\p{N}\p{M}_.-]").replace(r"\w", r"[\p{L}\p{N}\p{M}_]")
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    han = F.translate(F.lower("text"), LATIN, HAN_FOR)
+    head = F.element_at(F.array(*map(F.lit, HEADS)), (F.col("doc_id") % 8 + 1).cast("int"))
+    tail = F.element_at(F.array(*map(F.lit, TAILS)), (F.col("doc_id") % 7 + 1).cast("int"))
+    body = F.concat(head, F.lit("\n"), han, F.lit("\n\n\n\n"), tail, F.lit("\n尾行"), (F.col("doc_id") % 3).cast("string"))
+    return d.select("doc_id", F.concat("source", F.lit("_"), "doc_id", F.lit(".md")).alias("name"), "lang", han.alias("han"), body.alias("body"))
+
+
+def scores(spark, sf_dir):
+    return scoring.stub_scores(articles(spark, sf_dir).select("name", t.count_of(F.col("han")).alias("n")))
+
+
+@query(f"WITH {ARTICLES} SELECT doc_id, ({COUNT.format('han')})::BIGINT AS n_han FROM articles")
+def charset_count(spark, sf_dir):
+    return articles(spark, sf_dir).select("doc_id", t.count_of(F.col("han")).cast("long").alias("n_han"))
+
+
+@query(f"WITH {ARTICLES} SELECT doc_id, lower(regexp_replace(replace(name, '.md', ''), '[^\\p{{L}}\\p{{N}}_]', '', 'g')) AS title FROM articles")
+def normalize_title(spark, sf_dir):
+    return articles(spark, sf_dir).select("doc_id", t.normalize_title(F.col("name")).alias("title"))
+
+
+@query("SELECT doc_id, substr(regexp_replace(substr(text, 1, 60), '[^\\p{L}\\p{N}\\p{M}_]+', '_', 'g'), 1, 30) AS topic FROM documents")
+def safe_topic(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", t.safe_topic(F.substring("text", 1, 60)).alias("topic"))
+
+
+@query(f"WITH {ARTICLES} SELECT doc_id, floor(({COUNT.format('han')}) * 1.6::DOUBLE)::BIGINT AS tokens FROM articles")
+def est_tokens(spark, sf_dir):
+    return articles(spark, sf_dir).select("doc_id", t.est_tokens(F.col("han")).alias("tokens"))
+
+
+@query("SELECT doc_id, substr(text, 1, 40) AS head, md5(substr(text, 1, 3000)) AS m3, md5(substr(text, 1, 6000)) AS m6 FROM documents")
+def truncate_heads(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 40).alias("head"), F.md5(F.substring("text", 1, 3000).cast("binary")).alias("m3"), F.md5(F.substring("text", 1, 6000).cast("binary")).alias("m6"))
+
+
+@query("SELECT page_id, md5(trim(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), ' ' || chr(9) || chr(10) || chr(13))) AS article FROM pages")
+def extract_tag_article(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.md5(t.tag(F.col("html"), "article").cast("binary")).alias("article"))
+
+
+def _replies(articles_df):
+    i = F.col("doc_id")
+    return F.when(i % 4 == 0, F.concat(F.lit('```json\n{"depth": 4, "evidence": "3", "genre": "访谈", "topic": "其他", "id": '), i, F.lit("}\n```"))).when(i % 4 == 1, '{"depth": 3.7, "evidence": 2, "genre": "访谈", "topic": "科技"}').when(i % 4 == 2, '{"depth": 3, "genre": "访谈"}').otherwise("no json")
+
+
+@query("""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 4 WHEN 1 THEN 3 END AS depth, CASE doc_id % 4 WHEN 0 THEN 3 WHEN 1 THEN 2 END AS evidence, CASE doc_id % 4 WHEN 0 THEN '其他' WHEN 1 THEN '科技' END AS topic FROM documents""")
+def extract_json_score(spark, sf_dir):
+    d = articles(spark, sf_dir)
+    s = t.reply_scores(_replies(d))
+    return d.select("doc_id", s.alias("s")).select("doc_id", "s.depth", "s.evidence", "s.topic")
+
+
+@query(f"WITH {ARTICLES} SELECT doc_id, md5(substr(regexp_replace(han, '[^\\x{{4e00}}-\\x{{9fff}}]', '', 'g'), 1, 500)) AS fp FROM articles")
+def fingerprint_md5(spark, sf_dir):
+    return articles(spark, sf_dir).select("doc_id", t.fingerprint(F.col("han")).alias("fp"))
+
+
+@query(f"""WITH {ARTICLES} SELECT doc_id, CASE WHEN length(han) > 8000 THEN 'kimi'
+WHEN (list_sum([('0x' || substr(md5(name), k, 1))::INT * CASE WHEN k = 32 THEN 1 ELSE 6 END FOR k IN range(1, 33)]) % 10) < 7 THEN 'qwen' ELSE 'kimi' END AS teacher FROM articles""")
+def route_teacher(spark, sf_dir):
+    return articles(spark, sf_dir).select("doc_id", t.route_teacher(F.col("name"), F.length("han")).alias("teacher"))
+
+
+CUT = f"""{ARTICLES}, cut AS (SELECT *, list_min(list_filter([{", ".join(f"instr(body, '{m}')" for m in rules.COMMENT_MARKERS)}], lambda x: x > 0)) AS first FROM articles),
+trimmed AS (SELECT *, CASE WHEN first IS NULL THEN body ELSE substr(body, 1, first - 1) END AS b FROM cut)"""
+RE2 = [p.replace("'", "''") for p in rules.RAW_LINE_DROP]
+RAW_LINES = f"""{CUT}, lines AS (
+  SELECT *, list_filter(string_split(regexp_replace(b, '\\n$', ''), chr(10)), lambda x: NOT ({" OR ".join(f"regexp_matches(trim(x, ' '), '{p}')" for p in RE2)} OR trim(x, ' ') IN ('End', '阅读', '去阅读', '['))) AS kept FROM trimmed)"""
+FIXED = f"""{RAW_LINES}, fixed AS (
+  SELECT *, list_transform(kept, lambda x: CASE WHEN regexp_matches(x, '^_\\s+_(.*)_\\s+_$') THEN '## ' || trim(regexp_extract(x, '^_\\s+_(.*)_\\s+_$', 1), ' _') ELSE rtrim(x, ' ') END) AS done FROM lines)"""
+RAW_CLEAN = f"""{FIXED}, raw_clean AS (SELECT *, trim(regexp_replace(array_to_string(done, chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10)) AS cleaned FROM fixed)"""
+
+
+@query(f"WITH {CUT} SELECT doc_id, md5(b) AS cut FROM trimmed")
+def cut_comment_markers(spark, sf_dir):
+    return articles(spark, sf_dir).select("doc_id", F.md5(clean.cut_comments(F.col("body")).cast("binary")).alias("cut"))
+
+
+@query(f"WITH {RAW_LINES} SELECT doc_id, len(kept)::BIGINT AS n, md5(array_to_string(kept, chr(10))) AS kept FROM lines")
+def drop_lines_raw(spark, sf_dir):
+    kept = clean.drop_lines_raw(clean.cut_comments(F.col("body")))
+    return articles(spark, sf_dir).select("doc_id", kept.alias("k")).select("doc_id", F.size("k").cast("long").alias("n"), F.md5(F.array_join("k", "\n").cast("binary")).alias("kept"))
+
+
+@query(f"WITH {FIXED} SELECT doc_id, len(list_filter(done, lambda x: starts_with(x, '## ')))::BIGINT AS headings FROM fixed")
+def fix_headings(spark, sf_dir):
+    lines = F.transform(clean.drop_lines_raw(clean.cut_comments(F.col("body"))), clean.fix_heading)
+    return articles(spark, sf_dir).select("doc_id", F.size(F.filter(lines, lambda x: F.startswith(x, F.lit("## ")))).cast("long").alias("headings"))
+
+
+@query(f"WITH {ARTICLES} SELECT doc_id, md5(trim(regexp_replace(body, '\\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10))) AS squeezed FROM articles")
+def squeeze_blank(spark, sf_dir):
+    return articles(spark, sf_dir).select("doc_id", F.md5(clean.squeeze(F.col("body")).cast("binary")).alias("squeezed"))
+
+
+@query(f"WITH {RAW_CLEAN} SELECT doc_id, md5(cleaned) AS cleaned, ({COUNT.format('cleaned')})::BIGINT AS n FROM raw_clean WHERE n >= 1200")
+def clean_raw_full(spark, sf_dir):
+    c = clean.clean_raw(F.col("body"))
+    return articles(spark, sf_dir).select("doc_id", c.alias("c")).select("doc_id", F.md5(F.col("c").cast("binary")).alias("cleaned"), t.count_of(F.col("c")).cast("long").alias("n")).where("n >= 1200")
+
+
+@query(f"""WITH {ARTICLES}, c AS (SELECT lang, ({COUNT.format('han')})::BIGINT AS n FROM articles)
+SELECT lang, count(*) AS total, count(*) FILTER (n >= 1200) AS ok, min(n) AS least, list_sort(list(n))[(count(*) // 2 + 1)::INT] AS median, max(n) AS most FROM c GROUP BY lang""")
+def clean_raw_stats(spark, sf_dir):
+    d = articles(spark, sf_dir).select("lang", t.count_of(F.col("han")).cast("long").alias("c"))
+    one = d.groupBy("lang").agg(F.count("*").alias("total"), F.count_if(F.col("c") >= 1200).alias("ok"), F.min("c").alias("least"), F.max("c").alias("most"))
+    return one.join(metrics.by_index(d, ["lang"], "c", {"median": metrics.upper_median()}).drop("n"), "lang")
+
+
+NOISE = " OR ".join(f"(len(x) <= {cap} AND regexp_matches(x, '{re2(p)}'))" for p, cap in rules.LINE_NOISE)
+JUNK = " OR ".join([f"regexp_matches(x, '{p}')" for p in rules.TAIL_JUNK] + [NOISE])
+NOISELESS = f"{ARTICLES}, noiseless AS (SELECT *, list_filter(string_split(body, chr(10)), lambda x: NOT ({NOISE})) AS l1 FROM articles)"
+CUT_TAIL = f"""{NOISELESS}, tailcut AS (
+  SELECT *, list_filter(range(1, len(l1) + 1), lambda i: i - 1 >= greatest(len(l1) * 2 // 3, len(l1) - 25) AND regexp_matches(l1[i], '{rules.TAIL_CUT}')) AS marks FROM noiseless),
+l2 AS (SELECT *, CASE WHEN len(marks) > 0 THEN l1[:marks[1] - 1] ELSE l1 END AS l2 FROM tailcut)"""
+STRIPPED = f"""{CUT_TAIL}, l3 AS (SELECT *, l2[:coalesce(list_max(list_filter(range(1, len(l2) + 1), lambda i: NOT (list_contains(list_filter([l2[i]], lambda x: {JUNK}), l2[i])))), 0)] AS l3 FROM l2)"""
+FINAL = f"""{STRIPPED}, final AS (SELECT *, trim(regexp_replace(array_to_string(l3, chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10)) AS f FROM l3)"""
+
+
+@query(f"WITH {NOISELESS} SELECT doc_id, len(l1)::BIGINT AS n, md5(array_to_string(l1, chr(10))) AS kept FROM noiseless")
+def line_noise_filter(spark, sf_dir):
+    return articles(spark, sf_dir).select("doc_id", clean.drop_noise(t.splitlines(F.col("body"))).alias("k")).select("doc_id", F.size("k").cast("long").alias("n"), F.md5(F.array_join("k", "\n").cast("binary")).alias("kept"))
+
+
+@query(f"WITH {CUT_TAIL} SELECT doc_id, len(l2)::BIGINT AS n FROM l2")
+def tail_block_cut(spark, sf_dir):
+    return articles(spark, sf_dir).select("doc_id", F.size(clean.cut_tail_block(clean.drop_noise(t.splitlines(F.col("body"))))).cast("long").alias("n"))
+
+
+@query(f"WITH {STRIPPED} SELECT doc_id, len(l3)::BIGINT AS n FROM l3")
+def tail_strip(spark, sf_dir):
+    return articles(spark, sf_dir).select("doc_id", F.size(clean.strip_tail(clean.cut_tail_block(clean.drop_noise(t.splitlines(F.col("body")))))).cast("long").alias("n"))
+
+
+@query(f"WITH {FINAL} SELECT doc_id, md5(f) AS cleaned FROM final")
+def clean_final_full(spark, sf_dir):
+    return articles(spark, sf_dir).select("doc_id", F.md5(clean.clean_final(F.col("body")).cast("binary")).alias("cleaned"))
+
+
+@query(f"WITH {FINAL} SELECT CASE WHEN doc_id % 5 = 0 THEN 'untagged' WHEN {COUNT.format('f')} < 800 THEN 'dropped' WHEN f = trim(body, ' ' || chr(10)) THEN 'untouched' ELSE 'cleaned' END AS status, count(*) AS n FROM final GROUP BY ALL")
+def clean_final_stats(spark, sf_dir):
+    out = F.when(F.col("doc_id") % 5 == 0, F.col("body")).otherwise(F.concat(F.lit("<article>"), "body", F.lit("</article>")))
+    return articles(spark, sf_dir).select(clean.final_record(out).alias("r")).groupBy(F.col("r.status").alias("status")).agg(F.count("*").alias("n"))
+
+
+def records(spark, sf_dir):
+    i = F.col("doc_id")
+    output = F.when(i % 6 == 0, F.concat(F.lit("<article>"), "han", F.lit("</article>"))).when(i % 6 == 1, t.build_output(F.lit("没有"), F.col("han"))).otherwise(t.build_output(F.lit("核心矛盾 我会"), F.col("han")))
+    return articles(spark, sf_dir).select("doc_id", F.when(i % 9 != 0, F.lit("写文章")).alias("instruction"), t.build_input(F.lit("题"), F.lit("众"), F.lit("求")).alias("input"), output.alias("output"), "han")
+
+
+REASONS = f"""{ARTICLES}, reasons AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'no instruction or input' WHEN doc_id % 6 = 0 THEN 'no <thinking>' WHEN doc_id % 6 = 1 THEN 'no 核心矛盾' WHEN {COUNT.format('han')} < 800 THEN 'too short' END AS reason FROM articles)"""
+
+
+@query(f"WITH {REASONS} SELECT reason, count(*) AS n FROM reasons WHERE reason IS NOT NULL GROUP BY ALL")
+def quality_gate_reasons(spark, sf_dir):
+    r = records(spark, sf_dir).select(clean.gate_reason(F.col("instruction"), F.col("input"), F.col("output")).alias("reason"))
+    return r.where("reason is not null").groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {REASONS} SELECT doc_id FROM reasons WHERE reason IS NULL")
+def gate_passed(spark, sf_dir):
+    return records(spark, sf_dir).where(clean.gate_reason(F.col("instruction"), F.col("input"), F.col("output")).isNull()).select("doc_id")
+
+
+@query(f"""WITH {ARTICLES}, c AS (SELECT doc_id, {COUNT.format('han')} AS n FROM articles)
+SELECT doc_id, array_to_string(list_filter([CASE WHEN doc_id % 2 = 0 THEN 'no 核心矛盾' END, 'no heading', CASE WHEN n < 1200 THEN 'short' WHEN n > 3200 THEN 'long' END], lambda x: x IS NOT NULL), '|') AS warnings FROM c""")
+def validate_forward(spark, sf_dir):
+    thinking = F.when(F.col("doc_id") % 2 == 0, "无").otherwise("核心矛盾")
+    return articles(spark, sf_dir).select("doc_id", F.array_join(clean.warnings_forward(thinking, F.col("han")), "|").alias("warnings"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'no 要求：|no 核心矛盾|review tone 本文' ELSE '' END AS warnings FROM documents")
+def validate_reverse(spark, sf_dir):
+    even = F.col("doc_id") % 2 == 0
+    asked = F.when(even, "主题：受众：").otherwise("主题：受众：要求：")
+    return articles(spark, sf_dir).select("doc_id", F.array_join(clean.warnings_reverse(asked, F.when(even, "本文").otherwise("核心矛盾")), "|").alias("warnings"))
+
+
+SCAN_SQL = f"""{ARTICLES}, tails AS (SELECT doc_id, body, array_to_string(string_split(body, chr(10))[-15:], chr(10)) AS tail FROM articles),
+hits AS (SELECT doc_id, unnest(list_filter([{", ".join(f"CASE WHEN regexp_matches({'tail' if last else 'body'}, '{re2(p)}') THEN '{k}' END" for k, (p, last) in rules.SCAN.items())}], lambda x: x IS NOT NULL)) AS rule FROM tails)"""
+
+
+def _scan(spark, sf_dir):
+    lines = t.splitlines(F.col("body"))
+    tail = F.array_join(F.slice(lines, F.greatest(F.lit(1), F.size(lines) - 14), F.lit(15)), "\n")
+    d = articles(spark, sf_dir).select("doc_id", "body", tail.alias("tail"))
+    found = F.array(*[F.when(F.col("tail" if last else "body").rlike("(?d)(?U)" + p), F.lit(k)) for k, (p, last) in rules.SCAN.items()])
+    return d.select("doc_id", F.filter(found, lambda x: x.isNotNull()).alias("rules"))
+
+
+@query(f"WITH {SCAN_SQL} SELECT rule, count(*) AS docs, min(doc_id) AS example FROM hits GROUP BY ALL")
+def scan_boilerplate_hits(spark, sf_dir):
+    return _scan(spark, sf_dir).select("doc_id", F.explode("rules").alias("rule")).groupBy("rule").agg(F.count("*").alias("docs"), F.min("doc_id").alias("example"))
+
+
+@query(f"WITH {SCAN_SQL} SELECT (SELECT count(DISTINCT doc_id) FROM hits) AS polluted, (SELECT count(*) FROM articles) AS total")
+def scan_polluted_share(spark, sf_dir):
+    return _scan(spark, sf_dir).agg(F.count_if(F.size("rules") > 0).alias("polluted"), F.count("*").alias("total"))
+
+
+GEN = f"""{ARTICLES}, gen AS (SELECT unnest(['base', 'v1', 'v2']) AS tag, doc_id AS idx, han AS reference, unnest([substr(body, 1, 200), body, han]) AS generated FROM articles)"""
+HITS = " + ".join(f"regexp_matches(generated, '{p}')::INT" for p in rules.EVAL)
+
+
+def generations(spark, sf_dir):
+    each = F.array(*[F.struct(F.lit(n).alias("tag"), c.alias("generated")) for n, c in (("base", F.substring("body", 1, 200)), ("v1", F.col("body")), ("v2", F.col("han")))])
+    return articles(spark, sf_dir).select(F.col("doc_id").alias("idx"), F.col("han").alias("reference"), F.explode(each).alias("g")).select("g.tag", "idx", "reference", "g.generated")
+
+
+@query(f"WITH {GEN} SELECT tag, sum({HITS})::BIGINT AS hits, count(*) AS n FROM gen GROUP BY tag")
+def boilerplate_hits_by_tag(spark, sf_dir):
+    return generations(spark, sf_dir).groupBy("tag").agg(F.sum(rules.eval_hits(F.col("generated"))).alias("hits"), F.count("*").alias("n"))
+
+
+@query(f"WITH {GEN} SELECT avg({HITS}) FILTER (tag = 'base') AS base_hits, avg({HITS}) FILTER (tag = 'v1') AS v1_hits, avg({COUNT.format('generated')}) FILTER (tag = 'base') AS base_len, avg({COUNT.format('generated')}) FILTER (tag = 'v2') AS v2_len FROM gen")
+def eval_matrix(spark, sf_dir):
+    g = generations(spark, sf_dir).withColumns({"h": rules.eval_hits(F.col("generated")), "l": t.count_of(F.col("generated"))})
+    return g.groupBy().pivot("tag", ["base", "v1", "v2"]).agg(F.avg("h").alias("hits"), F.avg("l").alias("len")).select("base_hits", "v1_hits", "base_len", "v2_len")
+
+
+@query()
+def rouge_l_by_item(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 400).alias("head"), F.substring("text", 101, 400).alias("part"))
+    return d.select("doc_id", F.round(rouge_l_udf("head", "part"), 6).alias("rouge_l"))
+
+
+KEYED = f"""{ARTICLES}, keyed AS (SELECT doc_id, name, han, ({COUNT.format('han')})::BIGINT AS n, substr(name, 1, 5) || (doc_id // 3)::VARCHAR AS title FROM articles)"""
+
+
+def _keyed(spark, sf_dir):
+    return articles(spark, sf_dir).select("doc_id", "name", "han", t.count_of(F.col("han")).cast("long").alias("n"), F.concat(F.substring("name", 1, 5), F.floor(F.col("doc_id") / 3).cast("string")).alias("title"))
+
+
+@query(f"WITH {KEYED} SELECT doc_id, row_number() OVER (PARTITION BY title ORDER BY n DESC, name) = 1 AS kept FROM keyed")
+def dedup_title(spark, sf_dir):
+    return dedup.keep_first(_keyed(spark, sf_dir), ["title"], [F.desc("n"), "name"]).select("doc_id", "kept")
+
+
+@query(f"WITH {KEYED}, f AS (SELECT doc_id, doc_id % 3 AS priority, md5(substr(regexp_replace(han, '[^\\x{{4e00}}-\\x{{9fff}}]', '', 'g'), 1, 500)) AS fp FROM keyed) SELECT doc_id FROM f QUALIFY row_number() OVER (PARTITION BY fp ORDER BY priority, doc_id) = 1")
+def dedup_fingerprint(spark, sf_dir):
+    f = _keyed(spark, sf_dir).select("doc_id", (F.col("doc_id") % 3).alias("priority"), t.fingerprint(F.col("han")).alias("fp"))
+    return dedup.keep_first(f, ["fp"], ["priority", "doc_id"]).where("kept").select("doc_id")
+
+
+def _signed(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.col("doc_id").alias("name"), t.count_of(F.col("text"), t.LETTER).alias("n"), dedup.signature(F.col("text"), t.LETTER).alias("sig"))
+
+
+@query("""WITH l AS (SELECT doc_id, regexp_replace(text, '[^\\p{L}]', '', 'g') AS x FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(x) < 5 THEN [x] ELSE list_distinct(list_transform(range(1, len(x) - 3), lambda i: substr(x, i, 5))) END AS grams FROM l)
+SELECT doc_id, md5(array_to_string(list_sort(list_distinct(list_transform(grams, lambda s: substr(md5(s), 1, 16))))[:128], ',')) AS signature FROM g""")
+def minhash_signature(spark, sf_dir):
+    return _signed(spark, sf_dir).select(F.col("name").alias("doc_id"), F.md5(F.array_join("sig", ",").cast("binary")).alias("signature"))
+
+
+@query()
+def near_dup_edges(spark, sf_dir):
+    return dedup.edges(dedup.classes(_signed(spark, sf_dir)))
+
+
+@query()
+def near_dup_greedy(spark, sf_dir):
+    """Each document with its class's first document and whether it is kept."""
+    d = _signed(spark, sf_dir)
+    reps = dedup.classes(d)
+    kept = dedup.greedy(reps, dedup.edges(reps))
+    return d.select(F.col("name").alias("doc_id"), "sig").join(reps.select("sig", F.col("name").alias("first")), "sig").join(kept.withColumnRenamed("name", "first"), "first").select("doc_id", "first", ((F.col("doc_id") == F.col("first")) & F.col("kept")).alias("kept"))
+
+
+CORE = "depth >= 4 AND genre IN ('深度评论', '访谈')"
+SUPPLEMENT = "(SELECT *, row_number() OVER (ORDER BY evidence DESC, abs(chars - 3500), file) AS r FROM scored WHERE depth = 3 AND evidence >= 4 AND genre = '深度评论')"
+
+
+@query(f"WITH {SCORES} SELECT file, depth, genre FROM scored WHERE {CORE}")
+def select_core(spark, sf_dir):
+    return scoring.select_core(scores(spark, sf_dir)).select("file", "depth", "genre")
+
+
+@query(f"WITH {SCORES} SELECT file, evidence, chars FROM {SUPPLEMENT} WHERE r <= greatest(0, 190 - (SELECT count(*) FROM scored WHERE {CORE}))")
+def select_supplement_topk(spark, sf_dir):
+    return scoring.supplement(scores(spark, sf_dir), 190).select("file", "evidence", "chars")
+
+
+@query(f"WITH {SCORES} SELECT genre, topic, count(*) AS n, sum(chars)::BIGINT AS chars FROM scored WHERE {CORE} GROUP BY ALL")
+def selection_report(spark, sf_dir):
+    return scoring.select_core(scores(spark, sf_dir)).groupBy("genre", "topic").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
+
+
+@query(f"WITH {ARTICLES} SELECT name FROM articles WHERE doc_id % 4 <> 0")
+def resume_todo_scores(spark, sf_dir):
+    d = articles(spark, sf_dir)
+    return scoring.todo(d.select("name"), d.where("doc_id % 4 = 0").select(F.col("name").alias("file")))
+
+
+@query("""WITH l AS (SELECT user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT user_id, event_type FROM l WHERE event_type <> 'purchase'""")
+def resume_todo_manifest(spark, sf_dir):
+    e = scoring.latest(table(spark, sf_dir, "events"), "user_id", [F.desc("ts"), F.desc("event_id")])
+    done = e.where("event_type = 'purchase'").select("user_id")
+    return e.join(done, "user_id", "left_anti").select("user_id", "event_type")
+
+
+@query(f"WITH {SCORES} SELECT file FROM scored JOIN articles ON name = file WHERE {CORE} AND doc_id % 10 <> 0")
+def selected_existing(spark, sf_dir):
+    there = articles(spark, sf_dir).where("doc_id % 10 <> 0").select(F.col("name").alias("file"))
+    return scoring.select_core(scores(spark, sf_dir)).select("file").join(there, "file", "left_semi")
+
+
+@query(f"WITH {SCORES} SELECT count(*) AS missing FROM scored JOIN articles ON name = file WHERE {CORE} AND doc_id % 10 = 0")
+def selected_missing(spark, sf_dir):
+    there = articles(spark, sf_dir).where("doc_id % 10 <> 0").select(F.col("name").alias("file"))
+    return scoring.select_core(scores(spark, sf_dir)).join(there, "file", "left_anti").agg(F.count("*").alias("missing"))
+
+
+ALPACA = """SELECT conv_id, max(text) FILTER (role = 'system') AS instruction, min_by(text, turn) FILTER (role = 'user') AS input, min_by(text, turn) FILTER (role = 'assistant') AS output FROM conversations GROUP BY conv_id"""
+
+
+def _alpaca(spark, sf_dir):
+    def first(role, f):
+        return f(F.when(F.col("role") == role, F.col("text")))
+
+    c = table(spark, sf_dir, "conversations")
+    return c.groupBy("conv_id").agg(
+        first("system", F.max).alias("instruction"),
+        F.min_by("text", F.when(F.col("role") == "user", F.col("turn"))).alias("input"),
+        F.min_by("text", F.when(F.col("role") == "assistant", F.col("turn"))).alias("output"),
+    )
+
+
+@query(f"WITH a AS ({ALPACA}) SELECT source, priority, count(*) AS n, count(instruction) AS with_instruction FROM (SELECT 'a' AS source, 0 AS priority, * FROM a WHERE conv_id % 2 = 0 UNION ALL SELECT 'b', 2, * FROM a WHERE conv_id % 2 = 1) GROUP BY ALL")
+def union_sources_count(spark, sf_dir):
+    a = _alpaca(spark, sf_dir)
+    return union_sources([(a.where("conv_id % 2 = 0"), "a", 0), (a.where("conv_id % 2 = 1"), "b", 2)]).groupBy("source", "priority").agg(F.count("*").alias("n"), F.count("instruction").alias("with_instruction"))
+
+
+SPLIT = "SELECT conv_id, CASE WHEN row_number() OVER (ORDER BY md5('42:' || conv_id::VARCHAR)) <= greatest(1, floor(count(*) OVER () * 0.05::DOUBLE)) THEN 'val' ELSE 'train' END AS split FROM (SELECT DISTINCT conv_id FROM conversations)"
+
+
+@query(SPLIT)
+def split_train_val(spark, sf_dir):
+    return scoring.split(table(spark, sf_dir, "conversations").select("conv_id").distinct(), "conv_id").select("conv_id", "split")
+
+
+@query(f"WITH a AS ({ALPACA}), s AS ({SPLIT}) SELECT conv_id, split, 'conversations' AS source, coalesce(NULL, '?') AS teacher, substr(input, 1, 40) AS input_head FROM a JOIN s USING (conv_id)")
+def provenance(spark, sf_dir):
+    a = scoring.split(_alpaca(spark, sf_dir), "conv_id")
+    return a.select("conv_id", "split", F.lit("conversations").alias("source"), F.coalesce(F.lit(None).cast("string"), F.lit("?")).alias("teacher"), F.substring("input", 1, 40).alias("input_head"))
+
+
+@query(f"WITH {SCORES} SELECT depth, count(*) AS n FROM scored GROUP BY depth")
+def score_distribution(spark, sf_dir):
+    return scores(spark, sf_dir).groupBy("depth").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {SCORES} SELECT genre, topic, count(*) AS n FROM scored GROUP BY ALL")
+def genre_topic_counts(spark, sf_dir):
+    return scores(spark, sf_dir).groupBy("genre", "topic").agg(F.count("*").alias("n"))
+
+
+@query("SELECT count(*) AS n, round(avg((quality = 1 AND toxic = 0)::INT), 6) AS good FROM labels")
+def good_ratio(spark, sf_dir):
+    good = F.when((F.col("quality") == 1) & (F.col("toxic") == 0), 1).otherwise(0)
+    return table(spark, sf_dir, "labels").agg(F.count("*").alias("n"), F.round(F.avg(good), 6).alias("good"))
+
+
+@query("WITH q AS (SELECT list_sort(list(n_chars)) AS l, count(*) AS n FROM documents) SELECT n, " + ", ".join(f"l[least(n - 1, floor(n * {q}::DOUBLE))::INT + 1] AS p{int(q * 100)}" for q in (0.5, 0.75, 0.9, 0.95)) + " FROM q")
+def length_quantiles(spark, sf_dir):
+    return metrics.by_index(table(spark, sf_dir, "documents").select("n_chars"), [], "n_chars", {f"p{int(q * 100)}": metrics.quantile_index(q) for q in (0.5, 0.75, 0.9, 0.95)})
+
+
+@query("SELECT cutoff, round(avg((n_chars <= cutoff)::INT) * 100, 6) AS coverage FROM documents, (SELECT unnest([2048, 4096, 6144, 8192, 12288]) AS cutoff) GROUP BY cutoff")
+def cutoff_coverage(spark, sf_dir):
+    cutoffs = (2048, 4096, 6144, 8192, 12288)
+    one = table(spark, sf_dir, "documents").agg(*[F.round(F.avg(F.when(F.col("n_chars") <= c, 1).otherwise(0)) * 100, 6).alias(str(c)) for c in cutoffs])
+    return one.unpivot([], [str(c) for c in cutoffs], "cutoff", "coverage").select(F.col("cutoff").cast("int").alias("cutoff"), "coverage")
+
+
+@query("SELECT lang, count(*) AS n, list_sort(list(n_chars))[(count(*) // 2 + 1)::INT] AS median FROM documents GROUP BY lang")
+def upper_median_by_lang(spark, sf_dir):
+    return metrics.by_index(table(spark, sf_dir, "documents").select("lang", "n_chars"), ["lang"], "n_chars", {"median": metrics.upper_median()})
+
+
+def _ab(spark, sf_dir):
+    providers = F.explode(F.array(*map(F.lit, ("gemini", "qwen", "kimi", "deepseek"))))
+    d = articles(spark, sf_dir).select("doc_id", "han", providers.alias("provider"))
+    thought = F.concat(F.when(F.col("provider") == "kimi", "本文").otherwise("核心矛盾 语气定位 打算"), F.substring("han", 1, 400))
+    raw = F.concat(F.lit("<input>主题：题\n受众：众"), F.when(F.col("provider") != "qwen", "\n要求：求").otherwise(""), F.lit("</input><thinking>"), thought, F.lit("</thinking>"))
+    return d.select("provider", "doc_id", clean.ab_score(raw).alias("score"))
+
+
+AB = f"""{ARTICLES}, ab AS (
+  SELECT provider, doc_id, ({COUNT.format("(CASE WHEN provider = 'kimi' THEN '本文' ELSE '核心矛盾 语气定位 打算' END || substr(han, 1, 400))")}) AS n
+  FROM articles, (SELECT unnest(['gemini', 'qwen', 'kimi', 'deepseek']) AS provider)),
+points AS (SELECT provider, doc_id, (100 + CASE WHEN provider = 'qwen' THEN 133 ELSE 200 END + CASE WHEN provider = 'kimi' THEN 0 ELSE 120 + 300 END
+  + CASE WHEN n BETWEEN 300 AND 500 THEN 100 WHEN n BETWEEN 250 AND 600 THEN 50 ELSE 0 END)::BIGINT AS score FROM ab)"""
+
+
+@query(f"WITH {AB} SELECT * FROM points")
+def ab_rubric(spark, sf_dir):
+    return _ab(spark, sf_dir)
+
+
+@query(f"WITH {AB} SELECT provider, round(avg(CASE WHEN doc_id % 7 = 0 THEN 0 ELSE score END), 6) AS mean, count(*) AS n FROM points GROUP BY provider")
+def ab_rank(spark, sf_dir):
+    return _ab(spark, sf_dir).groupBy("provider").agg(F.round(F.avg(F.coalesce(F.when(F.col("doc_id") % 7 != 0, F.col("score")), F.lit(0))), 6).alias("mean"), F.count("*").alias("n"))
+
+
+@query(f"WITH {SCORES} SELECT dim, round(avg(v), 6) AS mean FROM (SELECT 'depth' AS dim, depth AS v FROM scored UNION ALL SELECT 'evidence', evidence FROM scored UNION ALL SELECT 'all', unnest([depth, evidence]) FROM scored) GROUP BY dim")
+def judge_means(spark, sf_dir):
+    each = scores(spark, sf_dir).select(F.explode(F.array(F.struct(F.lit("depth").alias("dim"), F.col("depth").alias("v")), F.struct(F.lit("evidence").alias("dim"), F.col("evidence").alias("v")), F.struct(F.lit("all").alias("dim"), F.col("depth").alias("v")), F.struct(F.lit("all").alias("dim"), F.col("evidence").alias("v")))).alias("x"))
+    return each.groupBy("x.dim").agg(F.round(F.avg("x.v"), 6).alias("mean"))
+
+
+@query(f"WITH {SCORES} SELECT * FROM scored")
+def stub_llm_score(spark, sf_dir):
+    return scores(spark, sf_dir)
+
+
+@query(f"WITH {SCORES} SELECT file, depth, evidence FROM scored")
+def incremental_scores(spark, sf_dir):
+    from corpusloom.streaming import incremental
+
+    root = (spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="corpusloom-")).rstrip("/") + "/stream"
+    stamp = F.md5(F.concat(F.lit(sf_dir), F.current_timestamp().cast("string")).cast("binary"))
+    root += "-" + spark.range(1).select(stamp).first()[0]
+    articles(spark, sf_dir).select("name", t.count_of(F.col("han")).alias("n")).write.parquet(f"{root}/in")
+    return incremental.run(spark, f"{root}/in", "name string, n int", scoring.stub_scores, f"{root}/out", f"{root}/state").select("file", "depth", "evidence")
