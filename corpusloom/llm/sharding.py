@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ from corpusloom.llm._common import shared_dir
 
 #: Bytes of a finished shard, the ratio between neighbouring tiers, and how many shards of a tier make a run.
 TARGET, TIER, RUN = 128 << 20, 4, 2
+#: Runs that one job merges, and manifest entries that are broadcast to readers.
+AT_ONCE, KNOWN = 64, 100_000
 
 
 class Conflict(RuntimeError):
@@ -94,12 +97,10 @@ class Store:
         if not runs:
             return before
         folder = f"data/{uuid.uuid4().hex}"
-        names = [(s["file"].rsplit("/", 2)[-2] + "/" + s["file"].rsplit("/", 1)[-1], k) for k, run in enumerate(runs) for s in run]
-        run_of = self.spark.createDataFrame(names, "name string, run int")
-        rows = self.read_files([s["file"] for run in runs for s in run]).withColumn("_name", F.regexp_extract(F.input_file_name(), r"[^/]+/[^/]+$", 0))
-        placed = rows.join(run_of, F.col("_name") == F.col("name")).drop("_name", "name").repartitionByRange(len(runs), "run")
-        placed.sortWithinPartitions("run").write.partitionBy("run").parquet(f"{self.root}/{folder}")
-        files = sorted(x for k in range(len(runs)) for x in self._files(f"{folder}/run={k}"))
+        for k in range(0, len(runs), AT_ONCE):  # a task for each run, which reads its shards and writes one file: nothing is shuffled
+            merged = [self.read_files([s["file"] for s in run]).coalesce(1) for run in runs[k : k + AT_ONCE]]
+            reduce(DataFrame.unionAll, merged).write.parquet(f"{self.root}/{folder}/{k:08d}")
+        files = sorted(x for k in range(0, len(runs), AT_ONCE) for x in self._files(f"{folder}/{k:08d}"))
         gone = {s["shard"] for run in runs for s in run}
         kept = [s for s in now if s["shard"] not in gone]
         first = max((s["shard"] for s in now), default=-1) + 1
@@ -127,7 +128,7 @@ class Store:
         names = [(s["file"].rsplit("/", 2)[-2] + "/" + s["file"].rsplit("/", 1)[-1], s["shard"], s["bytes"], s["tier"]) for s in shards]
         known = self.spark.createDataFrame(names, "_file string, _shard int, _shard_bytes long, _tier int")
         rows = self.read_files([s["file"] for s in shards]).withColumn("_file", F.regexp_extract(F.input_file_name(), r"[^/]+/[^/]+$", 0))
-        return rows.join(known, "_file").drop("_file")
+        return rows.join(F.broadcast(known) if len(names) <= KNOWN else known, "_file").drop("_file")
 
 
 def tier(size: int) -> int:
@@ -163,6 +164,6 @@ def shard(docs: DataFrame, arrivals: int = 4, target: int = TARGET, key: str = "
     store = Store(spark, f"{shared_dir(spark)}/corpusloom-shards-{uuid.uuid4().hex}")
     for k in range(arrivals):
         store.append(docs.where(F.coalesce(F.pmod(F.xxhash64(key), F.lit(arrivals)), F.lit(0)) == k))
-        store.compact(target)
+    store.compact(target)
     store.vacuum()
     return store, store.version()
