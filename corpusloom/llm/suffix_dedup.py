@@ -32,7 +32,7 @@ CONTEXT = GRAM + 2 * SPAN
 WIDTH = CONTEXT + 2  # and the first and last window that a context has
 CHUNK, SEGMENT = 1_000_000, 1 << 19
 #: Bytes of text for each bucket, and the size of a group in which a suffix's depth is shallow.
-BUCKET_BYTES, SHALLOW = 12_000_000, 40
+BUCKET_BYTES, SHALLOW = 5_000_000, 40
 NO_ID = np.iinfo(np.int64).max
 
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
