@@ -22,7 +22,7 @@ def cut_comments(c: Column) -> Column:
 
 
 def drop_lines_raw(c: Column) -> Column:
-    return F.filter(splitlines(c), lambda x: ~rules.drops_raw(strip(x)))
+    return F.filter(splitlines(c), lambda x: ~_let(strip(x), rules.drops_raw))
 
 
 def fix_heading(line: Column) -> Column:
