@@ -32,6 +32,8 @@ BLOCKS = {
     "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
 AWAY = {"nav", "header", "footer", "aside", "form", "menu", "button", "select", "dialog", "head", "fieldset", "label", "option"}
+#: Elements that hold the page or its article, whatever their class says.
+WHOLE = {"html", "body", "main"}
 #: Words in class, id or role that mark what is not the article.
 AWAY_WORDS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "contentinfo",
@@ -46,7 +48,7 @@ THRESHOLD = 0.5
 def _away(name: str, attributes: str) -> bool:
     if name in AWAY:
         return True
-    if not attributes:
+    if not attributes or name in WHOLE:  # a body of class has-sidebar is no sidebar
         return False
     said = " ".join("".join(m) for m in _NAMES.findall(attributes))
     return bool(said and not AWAY_WORDS.isdisjoint(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", said).lower()))) or bool(_HIDDEN.search(attributes))

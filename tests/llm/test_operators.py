@@ -142,6 +142,7 @@ def test_html():
     page = '<html><head><title>t</title></head><body><nav><a>Menu</a></nav><div class="cookie-notice">We use</div><article><h1>Head &amp; line</h1><p>One <b>two</b>,\n three.<p>Four, five.<br>six<script>x("</p>")</script></article><div class="comments"><p>No, never.</p></div><footer>f</footer>'
     assert html_text.main_text(page) == "Head & line\nOne two, three.\nFour, five. six"
     assert html_text.main_text("<div class=menu>a</div><div><p>Long text, that goes on and on.</p><p>And more, of it.</p></div>") == "Long text, that goes on and on.\nAnd more, of it."
+    assert html_text.main_text('<body class="has-sidebar"><main id="search-main"><p>One, two.</p><aside>x</aside></main></body>') == "One, two."
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<nav>x</nav>") == ""
 
 
