@@ -1,8 +1,8 @@
 """Byte-level BPE by DuckDB's recursive queries, one database in each Python worker.
 
-The text is cut by the public pattern. Distinct words become rows (word, position, token); the recursive query joins
-neighbours to the merge table and contracts each word's leftmost pair of least rank, until no word has a pair. Ordered
-aggregation then gives a word's ids and decodes them. A worker remembers words in a table of bounded size. Words of over
+The text is cut by the public pattern. Distinct words become lists of byte tokens and of their pairs' ranks; the recursive
+query contracts each word's leftmost pair of least rank and joins the two positions beside it to the merge table, until no
+word has a pair. Ordered aggregation then gives a word's ids and decodes them. A worker remembers words in a table of bounded size. Words of over
 LONG bytes, for which one contraction a round would take too many rounds, are merged by the same rule with a heap.
 """
 
@@ -14,12 +14,13 @@ import hashlib
 import heapq
 import itertools
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Words of more bytes go to the heap; words a worker remembers; characters that are cut at once.
-LONG, REMEMBERED, AT_ONCE = 200, 120_000, 2_000_000
+LONG, REMEMBERED, AT_ONCE = 200, 250_000, 2_000_000
 
 
 def default_vocabulary() -> str:
@@ -33,19 +34,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-QUERY = """
-WITH RECURSIVE t(round, word, ids) AS (
-  SELECT 0, word, list(id ORDER BY pos) FROM start GROUP BY word
+#: Stands for "no merge" among ranks.
+NONE = 2**31 - 1
+
+#: One ordered aggregate gives ids and bytes at once: bytes are hexadecimal in the letters a to p, so that digits are ids.
+HEX, LETTERS, DIGITS = b"0123456789abcdef", b"abcdefghijklmnop", b"0123456789 "
+TO_LETTERS, TO_HEX = bytes.maketrans(HEX, LETTERS), bytes.maketrans(LETTERS, HEX)
+
+QUERY = f"""
+WITH RECURSIVE t(word, ids, ranks, best) AS (  -- ranks[i]: what ids[i] and its next would become; best: the least of them
+  SELECT word, ids, ranks, list_min(ranks) FROM start
   UNION ALL
-  (WITH token AS (SELECT word, generate_subscripts(ids, 1) AS pos, unnest(ids) AS id, unnest(ids[2:]) AS next_id FROM t),
-   best AS (  -- the least rank, and of its places the leftmost, in one number
-     SELECT word, min(merged::BIGINT * 4096 + pos) AS b FROM token JOIN merge_pairs ON pair = id::BIGINT * 65536 + next_id GROUP BY word)
-   SELECT round + 1, t.word, ids[:(b & 4095) - 1] || [(b >> 12)::INTEGER] || ids[(b & 4095) + 2:] FROM t JOIN best ON t.word = best.word)
-), done AS MATERIALIZED (SELECT word, arg_max(ids, round) AS ids FROM t GROUP BY word),
-decoded AS (
-  SELECT word, string_agg(hex, '' ORDER BY pos) AS decoded
-  FROM (SELECT word, generate_subscripts(ids, 1) AS pos, unnest(ids) AS id FROM done) JOIN vocabulary USING (id) GROUP BY word)
-SELECT word, len(ids), array_to_string(ids, ' '), decoded FROM done JOIN decoded USING (word)
+  SELECT word, ids, ranks, list_min(ranks) FROM (
+    SELECT word, ids[:p - 1] || [best] || ids[p + 2:] AS ids,
+      ranks[:greatest(p - 2, 0)] || CASE WHEN p > 1 THEN [coalesce(a.merged, {NONE})] ELSE [] END || [coalesce(b.merged, {NONE})] || ranks[p + 2:] AS ranks
+    FROM (SELECT word, ids, ranks, best, list_position(ranks, best) AS p FROM t WHERE best < {NONE})  -- the leftmost of the least
+    LEFT JOIN merge_pairs a ON a.pair = ids[p - 1] * 4294967296 + best
+    LEFT JOIN merge_pairs b ON b.pair = best * 4294967296 + ids[p + 2])
+), token AS (SELECT word, generate_subscripts(ids, 1) AS pos, unnest(ids) AS id FROM t WHERE best = {NONE})
+SELECT word, count(*), string_agg(id_and_bytes, ' ' ORDER BY pos) FROM token JOIN vocabulary USING (id) GROUP BY word
 """
 
 
@@ -60,13 +67,14 @@ class Coder:
         self.ranks = read_ranks(path)
         self.cut = regex.compile(public_tokenizers.PATTERN)
         self.bytes_of = {v: k for k, v in self.ranks.items()}
-        self.byte = [self.ranks[bytes([b])] for b in range(256)]
+        self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.byte_pair = np.array([self.ranks.get(bytes(p), NONE) for p in itertools.product(range(256), repeat=2)], np.int32)
         self.words: dict[str, tuple[int, str, bytes]] = {}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "preserve_insertion_order": False})
         made = [(self.ranks[t[:k]], self.ranks[t[k:]], r) for t, r in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
         merges = pa.table({n: pa.array(x, pa.int32()) for n, x in zip(("first", "second", "merged"), zip(*made))})  # noqa: F841 (read by the next statements)
-        vocabulary = pa.table({"id": pa.array(self.bytes_of, pa.int32()), "hex": [b.hex() for b in self.bytes_of.values()]})  # noqa: F841
-        self.db.execute("CREATE TABLE merge_pairs AS SELECT first::BIGINT * 65536 + second AS pair, merged FROM merges")
+        vocabulary = pa.table({"id": pa.array(self.bytes_of, pa.int32()), "hex": [b.hex() for b in self.bytes_of.values()], "id_and_bytes": [f"{k}{b.hex().encode().translate(TO_LETTERS).decode()}" for k, b in self.bytes_of.items()]})  # noqa: F841
+        self.db.execute("CREATE TABLE merge_pairs AS SELECT first::BIGINT * 4294967296 + second AS pair, merged FROM merges")
         self.db.execute("CREATE TABLE vocabulary AS FROM vocabulary")
 
     def _heap(self, data: bytes) -> list[int]:
@@ -93,21 +101,25 @@ class Coder:
 
     def learn(self, words: set[str]) -> None:
         """Work out these words."""
-        names, word, pos, ids = [], [], [], []
+        names, data = [], []
         for w in words:
-            data = w.encode()
-            if len(data) > LONG:
-                found = self._heap(data)
+            own = w.encode()
+            if len(own) > LONG:
+                found = self._heap(own)
                 self.words[w] = (len(found), " ".join(map(str, found)), b"".join(map(self.bytes_of.__getitem__, found)))
-                continue
-            word += [len(names)] * len(data)
-            pos += range(len(data))
-            ids += [self.byte[b] for b in data]
-            names.append(w)
+            else:
+                names.append(w), data.append(own)
         if names:
-            start = pa.table({"word": pa.array(word, pa.int32()), "pos": pa.array(pos, pa.int32()), "id": pa.array(ids, pa.int32())})  # noqa: F841
-            for k, n, found, decoded in self.db.execute(QUERY).fetchall():
-                self.words[names[k]] = (n, found, bytes.fromhex(decoded))
+            raw = np.frombuffer(b"".join(data), np.uint8)
+            offsets = np.cumsum([0, *map(len, data)], dtype=np.int32)
+            ranks = np.full(len(raw), NONE, np.int32)
+            ranks[:-1] = self.byte_pair[raw[:-1].astype(np.int32) * 256 + raw[1:]]
+            ranks[offsets[1:] - 1] = NONE
+            ids, ranks = (pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (self.byte[raw], ranks))
+            start = pa.table({"word": np.arange(len(names), dtype=np.int32), "ids": ids, "ranks": ranks})  # noqa: F841
+            for k, n, both in self.db.execute(QUERY).fetchall():
+                both = both.encode()
+                self.words[names[k]] = (n, both.translate(None, LETTERS).decode(), bytes.fromhex(both.translate(TO_HEX, DIGITS).decode()))
 
     def _long(self, text: str):
         pieces = (m[0] for m in self.cut.finditer(text))
