@@ -83,7 +83,7 @@ def _flips(bits: list[int], radius: int) -> list[int]:
 
 
 def _runs(base: np.ndarray, left: np.ndarray, free: list[int], label: np.ndarray, who: np.ndarray) -> None:
-    """Lower label to the least one among fingerprints that share a variant.
+    """Unite the labels of fingerprints that share a variant. The halves of a split share label, and what one united stays united.
 
     base: each one's bits within this block; left: flips it has left; free: the bits not yet fixed by the block; who: its
     place in label.
@@ -113,13 +113,17 @@ def _runs(base: np.ndarray, left: np.ndarray, free: list[int], label: np.ndarray
     owners, new = owners[shared], new[shared]
     if not owners.size:
         return
-    starts = np.flatnonzero(new)
-    lengths = np.diff(np.append(starts, owners.size))
-    while True:
-        least = np.repeat(np.minimum.reduceat(label[owners], starts), lengths)
-        if not (least < label[owners]).any():
-            return
-        np.minimum.at(label, owners, least)
+    _unite(label, owners, owners[np.flatnonzero(new)[np.cumsum(new) - 1]])
+
+
+def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Give a[i] and b[i] one label, with all that have either's label. The labels are roots: label[label] is label, before and after."""
+    while (differ := label[a] != label[b]).any():
+        a, b = a[differ], b[differ]
+        x, y = label[a], label[b]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while ((up := label[label]) != label).any():
+            label[:] = up
 
 
 def _link_block(mask: int, free: list[int], radius: int):

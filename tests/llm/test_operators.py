@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusloom.llm import bpe, decontaminate, exact_dedup, html_text, line_dedup, pii, quality, sharding, simhash, suffix_dedup
@@ -54,6 +56,31 @@ def test_simhash_links_equal_all_pairs(spark):
     assert roots([(signed[e.u], signed[e.v]) for e in edges]) == roots(brute)
 
 
+def test_simhash_split_blocks_keep_links(monkeypatch):
+    rng = random.Random(6)
+    for at_once in (50, 3000, 10**9):
+        monkeypatch.setattr(simhash, "AT_ONCE", at_once)
+        for _ in range(8):
+            fps = [rng.getrandbits(63)]
+            while len(fps) < 40:
+                fps.append(rng.choice(fps[-3:]) ^ sum(1 << x for x in rng.sample(range(64), 4)) if rng.random() < 0.9 else rng.getrandbits(64))
+            fps = sorted(set(fps))
+            data = pa.table({"fp": np.array(fps, np.uint64).view(np.int64), "block": np.zeros(len(fps), np.int64)})
+            edges = simhash._link_block(0, list(range(63, -1, -1)), 2)(None, data).to_pydict()
+
+            def groups(pairs):
+                of = {f: {f} for f in fps}
+                for a, b in pairs:
+                    if of[a] is not of[b]:
+                        of[a] |= of[b]
+                        for x in of[b]:
+                            of[x] = of[a]
+                return {frozenset(g) for g in of.values()}
+
+            found = [(u % 2**64, v % 2**64) for u, v in zip(edges["u"], edges["v"])]
+            assert groups(found) == groups([(a, b) for i, a in enumerate(fps) for b in fps[:i] if (a ^ b).bit_count() <= 4])
+
+
 def test_lines(spark):
     rows = [(i, f"shared\nown {i}\n\nshared", "s") for i in range(12)] + [(99, None, None), (100, "shared", "t")]
     got = {r.doc_id: r for r in line_dedup.drop_lines(docs(spark, rows)).collect()}
