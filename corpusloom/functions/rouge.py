@@ -4,24 +4,38 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
 def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, a machine word or more of a at once."""
-    places: dict[str, int] = {}
-    for i, c in enumerate(a):
-        places[c] = places.get(c, 0) | 1 << i
+    """Length of the longest common subsequence, at any length; of the longer text a machine word or more at once.
+
+    A text that lies in the other as a subsequence is settled in one pass; all else takes the product of the lengths.
+    """
+    a, b = (a, b) if len(a) >= len(b) else (b, a)
+    if a == b or _within(b, a):
+        return len(b)
+    codes = np.frombuffer(a.encode("utf-32-le"), np.uint32)
+    places = {c: int.from_bytes(np.packbits(codes == ord(c), bitorder="little").tobytes(), "little") for c in set(b)}
     full = (1 << len(a)) - 1
     row = full
     for c in b:
-        hit = row & places.get(c, 0)
+        hit = row & places[c]
         row = ((row + hit) | (row - hit)) & full
     return len(a) - row.bit_count()
 
 
+def _within(part: str, whole: str) -> bool:
+    at = 0
+    for c in part:
+        if not (at := whole.find(c, at) + 1):
+            return False
+    return True
+
+
 def rouge_l(a: str | None, b: str | None) -> float:
     x, y = (re.sub(r"\s", "", t or "") for t in (a, b))
     n = lcs(x, y) if x and y else 0

@@ -76,7 +76,7 @@ def normalize_title(spark, sf_dir):
 
 @query("SELECT doc_id, substr(regexp_replace(substr(text, 1, 60), '[^\\p{L}\\p{N}\\p{M}_]+', '_', 'g'), 1, 30) AS topic FROM documents")
 def safe_topic(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", t.safe_topic(F.substring("text", 1, 60)).alias("topic"))
+    return table(spark, sf_dir, "documents").select("doc_id", t.safe_topic(F.col("text")).alias("topic"))
 
 
 @query(f"WITH {ARTICLES} SELECT doc_id, floor(({COUNT.format('han')}) * 1.6::DOUBLE)::BIGINT AS tokens FROM articles")
@@ -280,8 +280,13 @@ def eval_matrix(spark, sf_dir):
 
 @query()
 def rouge_l_by_item(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 400).alias("head"), F.substring("text", 101, 400).alias("part"))
-    return d.select("doc_id", F.round(rouge_l_udf("head", "part"), 6).alias("rouge_l"))
+    return generations(spark, sf_dir).select("tag", "idx", F.round(rouge_l_udf("generated", "reference"), 6).alias("rouge_l"))
+
+
+@query()
+def rouge_l_by_tag(spark, sf_dir):
+    scored = generations(spark, sf_dir).select("tag", rouge_l_udf("generated", "reference").alias("r"))
+    return scored.groupBy("tag").agg(F.round(F.avg("r"), 6).alias("rouge_l"), F.count("*").alias("n"))
 
 
 KEYED = f"""{ARTICLES}, keyed AS (SELECT doc_id, name, han, ({COUNT.format('han')})::BIGINT AS n, substr(name, 1, 5) || (doc_id // 3)::VARCHAR AS title FROM articles)"""

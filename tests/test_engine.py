@@ -77,6 +77,32 @@ def test_split_takes_at_least_one(spark):
         assert scoring.split(spark.range(n), "id").where("split = 'val'").count() == 1
 
 
+def test_rouge_scores_whole_texts(spark, tmp_path):
+    def slow(a, b):
+        a, b = ("".join((x or "").split()) for x in (a, b))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+        return 2 * row[-1] / (len(a) + len(b)) if row[-1] else 0.0
+
+    texts = ["ab c" * 30, "the quick brown fox " * 45 + "ends here", "x" * 600 + " END y", "", None]
+    rows = [(k, x, "en", "s", len(x or "")) for k, x in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    made = {(r.tag, r.idx): slow(r.generated, r.reference) for r in catalog.generations(spark, str(tmp_path)).collect()}
+    assert {(r.tag, r.idx): r.rouge_l for r in catalog.rouge_l_by_item(spark, str(tmp_path)).collect()} == {k: round(v, 6) for k, v in made.items()}
+    means = {r.tag: (r.rouge_l, r.n) for r in catalog.rouge_l_by_tag(spark, str(tmp_path)).collect()}
+    for tag in ("base", "v1", "v2"):
+        own = [v for k, v in made.items() if k[0] == tag]
+        assert means[tag] == (pytest.approx(sum(own) / len(own), abs=1e-6), len(texts))
+
+
+def test_safe_topic_reads_past_sixty_characters(spark, tmp_path):
+    spark.createDataFrame([(1, "a" + "-" * 80 + "b")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert catalog.safe_topic(spark, str(tmp_path)).first().topic == "a_b"
+
+
 def test_lcs():
     def slow(a, b):
         row = [0] * (len(b) + 1)
