@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as t
@@ -163,6 +163,25 @@ def clean_raw_stats(spark, sf_dir):
     return one.join(metrics.by_index(d, ["lang"], "c", {"median": metrics.upper_median()}).drop("n"), "lang")
 
 
+@query(f"""WITH {RAW_CLEAN}, c AS (SELECT lang, coalesce(starts_with(name, '早报'), false) AS skipped, coalesce({COUNT.format('cleaned')}, 0)::BIGINT AS n FROM raw_clean),
+k AS (SELECT *, NOT skipped AND n >= 1200 AS kept FROM c)
+SELECT lang, count(*) AS total, count(*) FILTER (skipped) AS zaobao, count(*) FILTER (NOT skipped AND NOT kept) AS too_short, count(*) FILTER (kept) AS ok,
+  min(n) FILTER (kept) AS least, list_sort(list(n) FILTER (kept))[(count(*) FILTER (kept) // 2 + 1)::INT] AS median, max(n) FILTER (kept) AS most FROM k GROUP BY lang""")
+def clean_raw_report(spark, sf_dir):
+    n = F.coalesce(t.count_of(clean.clean_raw(F.col("body"))).cast("long"), F.lit(0))
+    d = articles(spark, sf_dir).select("lang", "body", F.coalesce(F.startswith("name", F.lit("早报")), F.lit(False)).alias("skipped"))
+    counted = d.groupBy("lang", "skipped", F.when(~F.col("skipped"), n).alias("n")).agg(F.count("*").alias("c"))  # the one place that cleans
+    kept = F.col("n") >= 1200
+    w = Window.partitionBy("lang")
+    here = F.sum(F.when(kept, F.col("c")).otherwise(0))
+    placed = counted.select("*", here.over(w).alias("_ok"), here.over(w.orderBy("n").rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"))
+    held = lambda which: F.sum(F.when(which, F.col("c")).otherwise(0))
+    return placed.groupBy("lang").agg(
+        F.sum("c").alias("total"), held(F.col("skipped")).alias("zaobao"), held(F.col("n") < 1200).alias("too_short"), held(kept).alias("ok"),
+        F.min(F.when(kept, F.col("n"))).alias("least"), F.min(F.when(kept & (F.col("_upto") > F.floor(F.col("_ok") / 2)), F.col("n"))).alias("median"), F.max(F.when(kept, F.col("n"))).alias("most"),
+    )
+
+
 NOISE = " OR ".join(f"(len(x) <= {cap} AND regexp_matches(x, '{re2(p)}'))" for p, cap in rules.LINE_NOISE)
 JUNK = " OR ".join([f"regexp_matches(x, '{p}')" for p in rules.TAIL_JUNK] + [NOISE])
 NOISELESS = f"{ARTICLES}, noiseless AS (SELECT *, list_filter(string_split(body, chr(10)), lambda x: NOT ({NOISE})) AS l1 FROM articles)"

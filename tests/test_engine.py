@@ -77,6 +77,29 @@ def test_split_takes_at_least_one(spark):
         assert scoring.split(spark.range(n), "id").where("split = 'val'").count() == 1
 
 
+def test_raw_report_cleans_and_counts_kept_rows(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    def text(n, cut=0):
+        return "a" * n + ("\n精选留言\n" + "b" * cut if cut else "")
+
+    rows = [(5 + 280 * k, x, "en", s) for k, (x, s) in enumerate([(text(1300), "s"), (text(1500), "s"), (text(1400, 900), "s"), (text(100, 5000), "s"), (text(3000), "早报"), (None, "s"), (text(1200), None)])]
+    spark.createDataFrame(rows + [(9000, "short", "zh", "s")], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.lang: r for r in catalog.clean_raw_report(spark, str(tmp_path)).collect()}
+    en, zh = found["en"], found["zh"]
+    assert (en.total, en.zaobao, en.too_short, en.ok) == (7, 1, 2, 4)
+    assert 1200 <= en.least < 1220 and 1400 <= en.median < 1420 and 1500 <= en.most < 1520
+    assert (zh.total, zh.zaobao, zh.too_short, zh.ok, zh.least, zh.median, zh.most) == (1, 0, 1, 0, None, None, None)
+    for where in (SF, str(tmp_path)):
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW documents AS FROM '{where}/documents.parquet{'' if where == SF else '/*.parquet'}'")
+        want = con.execute(catalog.SQL["clean_raw_report"])
+        columns = [c[0] for c in want.description]
+        got = [tuple(r[c] for c in columns) for r in catalog.clean_raw_report(spark, where).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, want.fetchall()))
+    assert set(entry.entry(spark).columns) == set(columns)
+
+
 def test_rouge_scores_whole_texts(spark, tmp_path):
     def slow(a, b):
         a, b = ("".join((x or "").split()) for x in (a, b))
