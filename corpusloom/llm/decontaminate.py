@@ -24,17 +24,30 @@ from pyspark.sql import types as T
 
 #: Similarity of a match; the edit rate and share of items that repetitions are chosen for; steps in a key; their limit.
 SIMILARITY, EDIT_RATE, RECALL, SAMPLES, REPETITIONS = 0.8, 0.1, 0.95, 4, 16
-#: Items of fewer words say too little to be looked for. Words of the items that one broadcast holds.
+#: Items of fewer words are looked for exactly, word by word. Words of the items that one broadcast holds.
 MIN_WORDS, BLOCK_WORDS = 5, 200_000
 #: Words of documents that are looked at together.
 AT_ONCE = 400_000
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+#: First bytes of what follows: characters of scripts without spaces (Han, kana, Thai, Lao, Burmese, Khmer), and full-width punctuation.
+_WIDE = re.compile(rb"[\xe0\xe1\xe3-\xe9\xef\xf0]")
+_UNSPACED = re.compile(
+    rb"[\xe4-\xe9][\x80-\xbf]{2}|\xe3(?:\x80[\x85\x87]|[\x81\x82\x90-\xbf][\x80-\xbf]|\x83[\x80-\xba\xbc-\xbf])|\xef(?:[\xa4-\xab][\x80-\xbf]|\xbd[\xa6-\xbf]|\xbe[\x80-\x9f])"
+    rb"|\xf0[\xa0-\xb3][\x80-\xbf]{2}|\xe0[\xb8-\xbb][\x80-\xbf]|\xe1(?:[\x80\x81\x9e\x9f][\x80-\xbf]|\x82[\x80-\x9f])"
+)
+_APART = re.compile(rb"\xe3\x80[\x80-\x84\x86\x88-\xbf]|\xe3\x83\xbb|\xef\xbc[\x80-\x8f\x9a-\xa0\xbb-\xbf]|\xef\xbd[\x80\x9b-\xa5]")
 
 
 def words(text: str | None) -> list[bytes]:
-    """Runs of letters and digits, A-Z lowered; every byte outside ASCII counts as a letter."""
-    return _WORD.findall((text or "").encode().lower())
+    """Runs of letters and digits, A-Z lowered, and single characters of scripts without spaces.
+
+    Full-width punctuation separates as ASCII's does; every other byte outside ASCII counts as a letter.
+    """
+    data = (text or "").encode().lower()
+    if _WIDE.search(data):
+        data = _UNSPACED.sub(rb" \g<0> ", _APART.sub(b" ", data))
+    return _WORD.findall(data)
 
 
 class _Hashes(dict):
@@ -65,9 +78,13 @@ class Index:
     def __init__(self, items: list[tuple[object, str | None]], similarity: float = SIMILARITY, recall: float = RECALL, edit_rate: float = EDIT_RATE):
         self.ids, self.words, self.similarity = [], [], similarity
         for item, text in items:
-            if len(w := words(text)) >= MIN_WORDS:
+            if w := words(text):
                 self.ids.append(item)
                 self.words.append(w)
+        self.short: dict[bytes, list[int]] = defaultdict(list)
+        for k, w in enumerate(self.words):
+            if len(w) < MIN_WORDS:
+                self.short[w[0]].append(k)
         self.classes: list[tuple[int, int, list[int]]] = []
         a, longest = MIN_WORDS, max(map(len, self.words), default=0)
         while a <= longest:
@@ -78,7 +95,7 @@ class Index:
             a = b
         self.repetitions, self.keys = 1, {}
         rng = np.random.default_rng(3)
-        probe = [(k, [b"\x00"] * int(rng.integers(0, 37)) + self._edited(self.words[k], rng, edit_rate)) for k in rng.permutation(len(self.words))[:200]]
+        probe = [(k, [b"\x00"] * int(rng.integers(0, 37)) + self._edited(self.words[k], rng, edit_rate)) for k in rng.permutation([k for k, w in enumerate(self.words) if len(w) >= MIN_WORDS])[:200].astype(int)]
         for self.repetitions in range(1, REPETITIONS + 1):
             self._build(self.repetitions - 1)
             found = sum(any(self.words[k] == self.words[x] for x, _ in c) for (k, _), c in zip(probe, self.candidates([w for _, w in probe])))
@@ -156,6 +173,10 @@ class Index:
         out = []
         for text, found in zip(texts, self.candidates(texts)):
             best: dict[int, int] = {}
+            if self.short and (begun := self.short.keys() & set(text)):
+                for at, w in enumerate(text):
+                    if w in begun:
+                        best.update((k, 0) for k in self.short[w] if text[at : at + len(self.words[k])] == self.words[k])
             places = defaultdict(list)
             for item, at in sorted(found):
                 places[item].append(at)
@@ -182,10 +203,10 @@ class Index:
 def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", **settings) -> list[Index]:
     """The items in blocks of about BLOCK_WORDS words, one Index each; no more than a block is ever brought to the driver at once.
 
-    Null texts and items of fewer than MIN_WORDS words are passed over, repeated items are each reported.
+    Null texts and items without any word are passed over, repeated items are each reported.
     """
     rows = benchmark.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    total = rows.agg(F.coalesce(F.sum(F.size(F.split("text", " "))), F.lit(0))).first()[0]
+    total = rows.agg(F.coalesce(F.sum(F.size(F.split("text", " ")) + F.length(F.regexp_replace("text", r"[\x00-\u0DFF]", ""))), F.lit(0))).first()[0]
     n = max(1, -(-total // BLOCK_WORDS))
     out = []
     for k in range(n):
@@ -211,7 +232,8 @@ def _batches(batch: pa.RecordBatch, at: int):
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", **settings) -> DataFrame:
     """id_col, item_id, edits, n_words (of the item), similarity: one row per document and item that it holds.
 
-    A match is a passage within (1 - similarity) x words of the item in edits. Null and empty texts hold nothing. Repeated
+    A match is a passage within (1 - similarity) x words of the item in edits; of an item of under MIN_WORDS words, its
+    exact words. Null and empty texts hold nothing. Repeated
     rows give repeated results; an empty table on either side gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession

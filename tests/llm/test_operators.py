@@ -151,6 +151,31 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_unspaced_and_short_items(spark):
+    chinese = "下列关于光合作用的说法，哪一项是正确的？请从四个选项里选出答案并说明理由"
+    items = [(1, chinese), (2, "東京タワーの高さは何メートルですか"), (3, "Zebra quagga"), (4, "量子"), (5, "！？"), (6, "ราคาข้าวหอมมะลิ")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "前文。" + chinese + "。后文", "s"), (2, "「東京タワーの高さは何メートルですか」と聞く", "s"), (3, "a ZEBRA, quagga b", "s"), (4, "论量子力学", "s"), (5, "quagga zebra 子量！？", "s")]
+    rows += [(7, "xราคาข้าวหอมมะลิy", "s"), (8, None, "s"), (9, "今天天气很好，我们去公园散步吧", "s")]
+    got = {(r.doc_id, r.item_id, r.edits) for r in decontaminate.contaminated(docs(spark, rows), bench).collect()}
+    assert got == {(1, 1, 0), (2, 2, 0), (3, 3, 0), (4, 4, 0), (7, 6, 0)}
+    assert {r.doc_id for r in decontaminate.clean(docs(spark, rows), bench).collect()} == {5, 8, 9}
+    assert decontaminate.words("A，ｂ・東々 été don't 가나") == ["A".lower().encode(), "ｂ".encode(), "東".encode(), "々".encode(), "été".encode(), b"don", b"t", "가나".encode()]
+
+
+def test_decontamination_of_edited_unspaced_items(spark):
+    rng = random.Random(8)
+    draw = lambda n: "".join(chr(0x4E00 + rng.randrange(500)) for _ in range(n))
+    items = [(k, draw(rng.randint(20, 60))) for k in range(40)]
+    rows = []
+    for k, x in items:
+        at = rng.randrange(1, len(x) - 1)
+        rows.append((k, draw(k) + "。" + x[:at] + "错" + x[at + 1 :] + "，" + draw(9), "s"))
+    rows += [(200 + k, draw(300), "s") for k in range(40)]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert sum((k, k) in got for k in range(40)) >= 36 and not [d for d, _ in got if d >= 200]
+
+
 def test_edit_distance():
     assert decontaminate.edit_distance(list("abcd"), list("xxabzdyy")) == 1
 
