@@ -2,49 +2,46 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.session import ship_package
+from corpusloom.session import cut, discard, shared_dir, ship_package
 
-#: White space as the contracts define it, in Java's and RE2's spelling.
-BLANK = r"[\x20\x09-\x0D]+"
+__all__ = ["cut", "discard", "fresh", "packed", "shared_dir", "shipped", "shuffle_partitions", "table", "unpacked"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data set; only Spark's readers touch the path."""
-    return ship_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or where it is unset (tests) one of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
-        spark.sparkContext.setCheckpointDir(found)
-        found = spark.sparkContext.getCheckpointDir()
-    return found.rstrip("/")
+def shipped(df: DataFrame) -> DataFrame:
+    """df, once the workers of its session have this package."""
+    ship_package(df.sparkSession)
+    return df
 
 
-def cut(df: DataFrame, label: str = "cut") -> tuple[DataFrame, str]:
-    """Write df as Parquet into the shared folder and read it again: its lineage ends there, and a lost executor costs nothing."""
-    path = f"{shared_dir(df.sparkSession)}/corpusloom-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+def packed(df: DataFrame, *without: str, **columns: Column) -> DataFrame:
+    """df's rows, without some columns, as one column, row, beside columns of our own, which so can't clash with df's."""
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in without]
+    return df.select((F.struct(*kept) if kept else F.struct(F.lit(None).alias("none"))).alias("row"), *[c.alias(n) for n, c in columns.items()])
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete what cut() wrote, once nothing reads it."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+def unpacked(df: DataFrame, columns: list[str], **own: Column) -> DataFrame:
+    """The columns of row again, in their order, each replaced by one of own of its name; the others of own follow."""
+    taken = {n.lower(): n for n in own}
+    kept = [own[taken[c.lower()]].alias(c) if c.lower() in taken else F.col("row").getField(c).alias(c) for c in columns]
+    held = {c.lower() for c in columns}
+    return df.select(*kept, *[c.alias(n) for n, c in own.items() if n.lower() not in held])
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or where df has such a column, name with as many underscores before it as make it new."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name = "_" + name
+    return name
 
 
-def text_or_empty(col: str):
-    return F.coalesce(F.col(col), F.lit(""))
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
