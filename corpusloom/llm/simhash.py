@@ -1,8 +1,9 @@
 """SimHash near-duplicates, found by meet-in-the-middle ball hashing.
 
 Two 64-bit fingerprints differ in at most 2r bits if and only if some value lies within r bits of both. So every distinct
-fingerprint stands for all its variants within r flipped bits, and fingerprints that share a variant are linked; by the
-triangle inequality a shared variant is also the proof of the link, and the verification repeats it on the edges.
+fingerprint stands for all its variants within r flipped bits, and fingerprints that share a variant collide. Colliding pairs
+are deduplicated and verified by their differing bits. By the triangle inequality no true collision fails that, so the
+verification guards the links against a fault in the dealing, and never drops one.
 
 The 2,081 variants (r = 2) are not shuffled as rows. They are dealt by p of their bits, the block: a fingerprint is sent
 once to each block within r flips of its own, and makes there just those variants that have the block's bits. With p = 9
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm._common import cut, shuffle_partitions
+from corpusloom.llm._common import cut, discard, shipped
 from corpusloom.llm.components import components
 
 SEED = 42
@@ -60,7 +61,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp bigint")
+    return shipped(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp bigint")
 
 
 def _block_bits(p: int) -> list[int]:
@@ -82,11 +83,12 @@ def _flips(bits: list[int], radius: int) -> list[int]:
     return out
 
 
-def _runs(base: np.ndarray, left: np.ndarray, free: list[int], label: np.ndarray, who: np.ndarray) -> None:
-    """Unite the labels of fingerprints that share a variant. The halves of a split share label, and what one united stays united.
+def _runs(base: np.ndarray, left: np.ndarray, free: list[int], label: np.ndarray, who: np.ndarray, fps: np.ndarray, most: int) -> None:
+    """Unite the labels of fingerprints that share a variant and differ in at most most bits. The halves of a split share
+    label, and what one united stays united.
 
     base: each one's bits within this block; left: flips it has left; free: the bits not yet fixed by the block; who: its
-    place in label.
+    place in label and fps.
     """
     sizes = {0: 1, 1: 1 + len(free), 2: 1 + len(free) + len(free) * (len(free) - 1) // 2}
     total = sum(int((left == r).sum()) * n for r, n in sizes.items())
@@ -97,7 +99,7 @@ def _runs(base: np.ndarray, left: np.ndarray, free: list[int], label: np.ndarray
         high = (base & bit) != 0
         for side in (False, True):
             same, other = high == side, (high != side) & (left > 0)
-            _runs(np.concatenate((base[same], base[other] ^ bit)), np.concatenate((left[same], left[other] - 1)), rest, label, np.concatenate((who[same], who[other])))
+            _runs(np.concatenate((base[same], base[other] ^ bit)), np.concatenate((left[same], left[other] - 1)), rest, label, np.concatenate((who[same], who[other])), fps, most)
         return
     values, owners = [], []
     for r in (0, 1, 2):
@@ -113,7 +115,10 @@ def _runs(base: np.ndarray, left: np.ndarray, free: list[int], label: np.ndarray
     owners, new = owners[shared], new[shared]
     if not owners.size:
         return
-    _unite(label, owners, owners[np.flatnonzero(new)[np.cumsum(new) - 1]])
+    pairs = np.unique(owners * len(fps) + owners[np.flatnonzero(new)[np.cumsum(new) - 1]])  # each with the first of its run, once
+    a, b = pairs // len(fps), pairs % len(fps)
+    close = np.bitwise_count(fps[a] ^ fps[b]) <= most
+    _unite(label, a[close], b[close])
 
 
 def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -133,7 +138,7 @@ def _link_block(mask: int, free: list[int], radius: int):
         base = (fps & np.uint64(~mask & (2**64 - 1))) | block
         left = radius - np.bitwise_count((fps & np.uint64(mask)) ^ block).astype(np.int64)
         label = np.arange(len(fps))
-        _runs(base, left, free, label, np.arange(len(fps)))
+        _runs(base, left, free, label, np.arange(len(fps)), fps, 2 * radius)
         moved = np.flatnonzero(label != np.arange(len(fps)))
         return pa.table({"u": fps[moved].view(np.int64), "v": fps[label[moved]].view(np.int64)})
 
@@ -146,7 +151,7 @@ def links(fps: DataFrame, radius: int = 2) -> DataFrame:
     An edge joins fingerprints of one linked group; its ends may differ in more than 2 * radius bits where a chain within
     the block joins them. The components are those of the full graph.
     """
-    n = fps.count()
+    n = shipped(fps).count()
     p = min(24, max(4, math.ceil(math.log2(max(1, n * 2081 / A_BLOCK)))))
     bits = _block_bits(p)
     mask = sum(1 << b for b in bits)
@@ -167,11 +172,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if distance not in (2, 4):
         raise ValueError("distance must be 2 or 4")
     own, _ = cut(fingerprints(docs, id_col, text_col, words), "simhash")
-    groups, _ = cut(own.groupBy("fp").agg(F.min("id").alias("first")), "simhash-groups")
+    groups, at = cut(own.groupBy("fp").agg(F.min("id").alias("first")), "simhash-groups")
     roots = components(links(groups.select("fp"), distance // 2)).select(F.col("node").alias("fp"), "root")
     rooted = groups.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = rooted.join(least, "root").select("fp", "component_id")
+    by_fp, _ = cut(rooted.join(least, "root").select("fp", "component_id"), "simhash-components")
+    discard(docs.sparkSession, at)
     return own.join(by_fp, "fp", "left").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
