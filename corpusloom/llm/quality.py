@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.llm._common import shipped
+
 #: The bound of the labelled sample, the rank of the space, the voters, the power of a similarity as a weight.
 SAMPLE, RANK, NEIGHBOURS, POWER, THRESHOLD = 3000, 48, 15, 8, 0.7
 SHAPES, WORDS, STATS = 4096, 4096, 48
@@ -95,9 +97,16 @@ class Model:
             own = _unit(_weighted([terms(t) for t in texts[at : at + BLOCK]], self.idf) @ self.projection)
             cosines = own @ self.vectors.T
             near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-            weight = np.maximum(np.take_along_axis(cosines, near, 1), 0).astype(np.float64) ** POWER
-            total = weight.sum(1)
-            out[at : at + BLOCK] = np.where(total > 0, (weight * self.labels[near]).sum(1) / np.maximum(total, 1e-300), self.prior)
+            found = np.take_along_axis(cosines, near, 1)
+            weight = np.maximum(found, 0).astype(np.float64) ** POWER
+            votes, total = (weight * self.labels[near]).sum(1), weight.sum(1)
+            last = found.min(1)
+            for row in np.flatnonzero((cosines >= last[:, None]).sum(1) > k):  # all that tie for the last places share them
+                own_row = cosines[row]
+                above, tied = own_row > last[row], own_row == last[row]
+                shares = np.maximum(own_row, 0).astype(np.float64) ** POWER * (above + tied * ((k - above.sum()) / tied.sum()))
+                votes[row], total[row] = (shares * self.labels).sum(), shares.sum()
+            out[at : at + BLOCK] = np.where(total > 0, votes / np.maximum(total, 1e-300), self.prior)
         return out.clip(0, 1)
 
 
@@ -109,7 +118,7 @@ def held_out(id_col: str = "doc_id"):
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of at most sample labelled rows that are not held out, those of the least hashes of their id.
 
-    Rows without an id or label are passed over; of repeated ids the least label and one text count. Without any labelled
+    Rows without an id or label are passed over; of repeated ids the least label and the least text count. Without any labelled
     row every score is 0.5.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
@@ -120,22 +129,29 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             found = [terms((t.as_py() or "").encode()) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x[0] for x in found], pa.list_(pa.int64())), pa.array([x[1] for x in found], pa.list_(pa.float64()))], ["doc_id", "quality", "index", "count"])
 
-    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", F.col("quality").cast("int"), "text")
+    joined = shipped(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", F.col("quality").cast("int").alias("quality")).agg(F.min(F.col("text").cast("string")).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = sorted(joined.mapInArrow(run, f"doc_id {kind}, quality int, index array<bigint>, count array<double>").toLocalIterator(), key=lambda r: r.doc_id)
     return Model([(np.array(r["index"], np.int64), np.array(r["count"])) for r in rows], [r.quality for r in rows])
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with one more column, _score. A null text counts as empty; empty texts are scored by their neighbours too."""
+def score(docs: DataFrame, model: Model, text_col: str = "text", into: str = "_score", columns: list[str] | None = None) -> DataFrame:
+    """docs, or just those columns of it, with one more column, into; a column of docs of that name is replaced.
+
+    A null text counts as empty; empty texts are scored by their neighbours too. Neighbours that tie for the last places
+    share them. Repeated rows get one score each; an empty table gives no rows; a long text is read whole, in pieces.
+    """
+    kept = [c for c in (shipped(docs).columns if columns is None else columns) if c.lower() != into.lower()]
+    own = docs.select(*[F.col(f"`{c}`") for c in kept if c != text_col], F.col(text_col).cast("string"))
+    at = len(own.columns) - 1
+    order = [at if c == text_col else own.columns.index(c) for c in kept]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
 
     def run(batches):
         for b in batches:
             for k in range(0, b.num_rows, BLOCK):
                 part = b.slice(k, BLOCK)
                 found = shared.value.scores([(t.as_py() or "").encode() for t in part.column(at)])
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], [*part.schema.names, "_score"])
+                yield pa.RecordBatch.from_arrays([*[part.column(x) for x in order], pa.array(found)], [*kept, into])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())]))
+    return own.mapInArrow(run, T.StructType([*[own.schema[x] for x in order], T.StructField(into, T.DoubleType())]))

@@ -11,7 +11,7 @@ from corpusloom.llm._common import table
 
 def op1_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), columns=["doc_id"])
     predicted = F.when(F.col("_score") >= quality.THRESHOLD, 1).otherwise(0)
     return scored.select("doc_id", quality.held_out().alias("held_out"), F.col("_score").alias("score"), predicted.alias("predicted"))
 
