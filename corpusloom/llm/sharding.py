@@ -3,21 +3,25 @@
 Arrivals are appended as small immutable shards, a file for each task that holds any. Compaction puts shards into tiers of
 similar size and merges runs of a tier, in order of arrival, into files of the target size; a shard of at least half the
 target is left alone. Either step ends with a new manifest version, written beside the old ones and moved into place in
-one rename that fails if the version exists: readers see a version whole or not at all, and of two writers one starts
-again. Files that no kept version names are removed by vacuum(). Only file names and sizes, never rows, come to the driver.
+one rename that fails if the version exists: readers see a version whole or not at all, and of two writers one takes the
+other's version and commits after it. That asks for a file system whose rename is atomic and does not overwrite, as HDFS
+and local ones have; an object store without one needs a single writer. What a writer that died has left behind, and what
+only older versions name, is removed by vacuum(). Only file names and sizes, never rows, come to the driver: a manifest of
+about 100 bytes for each shard of target size.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import time
 import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm._common import shared_dir
+from corpusloom.llm._common import packed, shared_dir, unpacked
 
 #: Bytes of a finished shard, the ratio between neighbouring tiers, and how many shards of a tier make a run.
 TARGET, TIER, RUN = 128 << 20, 4, 2
@@ -29,6 +33,14 @@ class Conflict(RuntimeError):
     """Another writer has committed this version."""
 
 
+class _Lost(RuntimeError):
+    """The shards to be replaced are gone."""
+
+
+def _next(shards: list[dict]) -> int:
+    return max((s["shard"] for s in shards), default=-1) + 1
+
+
 class Store:
     """A folder of immutable shards and its manifests."""
 
@@ -74,26 +86,31 @@ class Store:
     def _entries(self, files: list[tuple[str, int]], first: int, arrival: int) -> list[dict]:
         return [{"shard": first + k, "file": f, "bytes": n, "arrival": arrival, "tier": tier(n)} for k, (f, n) in enumerate(files)]
 
-    def append(self, arrivals: DataFrame, retries: int = 5) -> int:
-        """Write arrivals as small shards and commit them; the version. Empty arrivals change nothing but the version."""
-        folder = f"data/{uuid.uuid4().hex}"
-        arrivals.write.parquet(f"{self.root}/{folder}")
-        files = self._files(folder)
+    def _commit_after(self, change, retries: int = 20) -> int:
+        """Commit change(manifest, next version) on the newest version, on a newer one if another writer was first."""
         for _ in range(retries):
             before = self.version()
-            now = self.manifest(before)
-            first = max((s["shard"] for s in now), default=-1) + 1
             try:
-                return self.commit(now + self._entries(files, first, before + 1), before)
+                return self.commit(change(self.manifest(before), before + 1), before)
             except Conflict:
                 continue
-        raise Conflict(folder)
+        raise Conflict(self.root)
+
+    def append(self, arrivals: DataFrame) -> int:
+        """Write arrivals as small shards and commit them; the version. Empty arrivals change nothing but the version."""
+        folder = f"data/{uuid.uuid4().hex}"
+        arrivals.write.parquet(f"{self.root}/{folder}")
+        files = self._files(folder)
+        return self._commit_after(lambda now, version: now + self._entries(files, _next(now), version))
 
     def compact(self, target: int = TARGET) -> int:
-        """Merge runs of similar shards into shards of about target bytes and commit; the version. Nothing to merge: no commit."""
+        """Merge runs of similar shards into shards of about target bytes and commit; the version. Nothing to merge: no commit.
+
+        Shards that came meanwhile stay as they are. If another writer has merged the same shards, what was written here is
+        deleted, nothing is committed, and Conflict is raised.
+        """
         before = self.version()
-        now = self.manifest(before)
-        runs = plan(now, target)
+        runs = plan(self.manifest(before), target)
         if not runs:
             return before
         folder = f"data/{uuid.uuid4().hex}"
@@ -101,34 +118,63 @@ class Store:
             merged = [self.read_files([s["file"] for s in run]).coalesce(1) for run in runs[k : k + AT_ONCE]]
             reduce(DataFrame.unionAll, merged).write.parquet(f"{self.root}/{folder}/{k:08d}")
         files = sorted(x for k in range(0, len(runs), AT_ONCE) for x in self._files(f"{folder}/{k:08d}"))
-        gone = {s["shard"] for run in runs for s in run}
-        kept = [s for s in now if s["shard"] not in gone]
-        first = max((s["shard"] for s in now), default=-1) + 1
-        return self.commit(kept + self._entries(files, first, before + 1), before)
+        gone = {s["file"] for run in runs for s in run}
+
+        def change(now: list[dict], version: int) -> list[dict]:
+            if not gone <= {s["file"] for s in now}:
+                self.fs.delete(self._path(folder), True)
+                raise _Lost(folder)
+            return [s for s in now if s["file"] not in gone] + self._entries(files, _next(now), version)
 
-    def vacuum(self) -> int:
-        """Delete the files of older versions that the newest doesn't name, and the older manifests; how many files."""
+        try:
+            return self._commit_after(change)
+        except _Lost as e:
+            raise Conflict("another writer has merged these shards") from e
+
+    def compact_all(self, target: int = TARGET) -> int:
+        """compact() until there is nothing to merge; the version."""
+        version = self.compact(target)
+        while plan(self.manifest(version), target):
+            version = self.compact(target)
+        return version
+
+    def vacuum(self, grace_s: float = 86400.0) -> int:
+        """Delete files that the newest version doesn't name and older manifests, both older than grace_s; how many files.
+
+        The grace is for readers of older versions and for writers that have not committed yet.
+        """
+        latest = int((time.time() - grace_s) * 1000)
         version = self.version()
         named = {s["file"] for s in self.manifest(version)}
-        gone = {s["file"] for v in range(1, version) if self.fs.exists(self._path(f"manifest/v{v:08d}.json")) for s in self.manifest(v)} - named
-        for f in sorted(gone):
-            self.fs.delete(self._path(f), False)
-        for v in range(1, version):
-            self.fs.delete(self._path(f"manifest/v{v:08d}.json"), False)
-        return len(gone)
+        prefix, n = self._path("").toUri().getPath().rstrip("/") + "/", 0
+        walk = self.fs.listFiles(self._path("data"), True) if self.fs.exists(self._path("data")) else None
+        while walk is not None and walk.hasNext():
+            found = walk.next()
+            name = found.getPath().toUri().getPath().removeprefix(prefix)
+            if name.endswith(".parquet") and name not in named and found.getModificationTime() <= latest:
+                n += bool(self.fs.delete(found.getPath(), False))
+        for found in self.fs.globStatus(self._path("manifest/*")) or []:
+            if found.getPath().getName() != f"v{version:08d}.json" and found.getModificationTime() <= latest:
+                self.fs.delete(found.getPath(), False)
+        return n
 
     def read_files(self, files: list[str]) -> DataFrame:
         return self.spark.read.option("mergeSchema", "false").parquet(*[f"{self.root}/{f}" for f in files])
 
-    def read(self, version: int | None = None) -> DataFrame | None:
-        """All rows of a version, with _shard; None if it has no shard."""
+    def read(self, version: int | None = None, shard: str = "_shard", size: str = "_shard_bytes") -> DataFrame | None:
+        """All rows of a version, with the number and bytes of their shard; None if it has no shard.
+
+        Columns of the rows pass through, whatever their names, but for those called as shard and size say, which are replaced.
+        """
         shards = self.manifest(version)
         if not shards:
             return None
-        names = [(s["file"].rsplit("/", 2)[-2] + "/" + s["file"].rsplit("/", 1)[-1], s["shard"], s["bytes"], s["tier"]) for s in shards]
-        known = self.spark.createDataFrame(names, "_file string, _shard int, _shard_bytes long, _tier int")
-        rows = self.read_files([s["file"] for s in shards]).withColumn("_file", F.regexp_extract(F.input_file_name(), r"[^/]+/[^/]+$", 0))
-        return rows.join(F.broadcast(known) if len(names) <= KNOWN else known, "_file").drop("_file")
+        names = [("/".join(s["file"].rsplit("/", 2)[-2:]), s["shard"], s["bytes"]) for s in shards]
+        known = self.spark.createDataFrame(names, "known string, shard int, size long")
+        rows = self.read_files([s["file"] for s in shards])
+        own = packed(rows, file=F.regexp_extract(F.input_file_name(), r"[^/]+/[^/]+$", 0))
+        joined = own.join(F.broadcast(known) if len(names) <= KNOWN else known, F.col("file") == F.col("known"))
+        return unpacked(joined, rows.columns, **{shard: F.col("shard"), size: F.col("size")})
 
 
 def tier(size: int) -> int:
@@ -145,17 +191,19 @@ def plan(shards: list[dict], target: int = TARGET) -> list[list[dict]]:
     runs = []
     for _, held in sorted(tiers.items()):
         run: list[dict] = []
+        size = 0
         for s in held:
-            if run and sum(x["bytes"] for x in run) + s["bytes"] > target:
+            if run and size + s["bytes"] > target:
                 runs.append(run)
-                run = []
+                run, size = [], 0
             run.append(s)
+            size += s["bytes"]
         runs.append(run)
     return [r for r in runs if len(r) >= RUN]
 
 
 def shard(docs: DataFrame, arrivals: int = 4, target: int = TARGET, key: str = "doc_id") -> tuple[Store, int]:
-    """A new store in the shared folder, filled with docs in several arrivals, compacted; and the version.
+    """A new store in the shared folder, filled with docs in several arrivals, compacted after each; and the version.
 
     Every row is kept as it is, nulls, repeated rows and all columns included; rows with a null key arrive first. An empty
     table gives a store without rows.
@@ -164,6 +212,5 @@ def shard(docs: DataFrame, arrivals: int = 4, target: int = TARGET, key: str = "
     store = Store(spark, f"{shared_dir(spark)}/corpusloom-shards-{uuid.uuid4().hex}")
     for k in range(arrivals):
         store.append(docs.where(F.coalesce(F.pmod(F.xxhash64(key), F.lit(arrivals)), F.lit(0)) == k))
-    store.compact(target)
-    store.vacuum()
+        store.compact_all(target)
     return store, store.version()
