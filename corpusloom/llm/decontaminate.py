@@ -6,9 +6,10 @@ distance becomes Hamming distance. A repetition samples SAMPLES steps of its own
 
 Items are put into classes by their words, [a, 1.5 a). A class looks at the windows of W = a - S + 1 words at every S-th
 word of a document, S = a // 2: whatever holds an item whole then holds a window of it at one of its first S offsets, and
-the items are indexed at every offset. The number of repetitions is the least that finds the target share of items with
-EDIT_RATE of their words edited at random, measured on the items themselves. Each candidate is verified by the exact edit
-distance, in words, between the item and the best passage around the candidate.
+the items are indexed at every offset. Windows of an item's full size would have to start at every word, which costs
+several times as many steps a word. The number of repetitions is the least that finds the target share of items with as
+many of their words edited at random as a match may have, measured on the items themselves; if no number does, that is an
+error. Each candidate is verified by the exact edit distance, in words, between the item and the best passage around it.
 """
 
 from __future__ import annotations
@@ -22,8 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Similarity of a match; the edit rate and share of items that repetitions are chosen for; steps in a key; their limit.
-SIMILARITY, EDIT_RATE, RECALL, SAMPLES, REPETITIONS = 0.8, 0.1, 0.95, 4, 16
+from corpusloom.llm._common import shipped
+
+#: Similarity of a match; the share of items, edited as much as a match may be, that repetitions must find; steps in a key.
+SIMILARITY, RECALL, SAMPLES = 0.8, 0.92, 3
+#: Repetitions beyond which the target counts as out of reach, which is an error; edited items that measure the recall.
+REPETITIONS, PROBES = 64, 2000
 #: Items of fewer words are looked for exactly, word by word. Words of the items that one broadcast holds.
 MIN_WORDS, BLOCK_WORDS = 5, 200_000
 #: Words of documents that are looked at together.
@@ -75,7 +80,7 @@ def edit_distance(item: list[bytes], text: list[bytes]) -> int:
 class Index:
     """The items of one block, ready to be broadcast."""
 
-    def __init__(self, items: list[tuple[object, str | None]], similarity: float = SIMILARITY, recall: float = RECALL, edit_rate: float = EDIT_RATE):
+    def __init__(self, items: list[tuple[object, str | None]], similarity: float = SIMILARITY, recall: float = RECALL):
         self.ids, self.words, self.similarity = [], [], similarity
         for item, text in items:
             if w := words(text):
@@ -95,17 +100,24 @@ class Index:
             a = b
         self.repetitions, self.keys = 1, {}
         rng = np.random.default_rng(3)
-        probe = [(k, [b"\x00"] * int(rng.integers(0, 37)) + self._edited(self.words[k], rng, edit_rate)) for k in rng.permutation([k for k, w in enumerate(self.words) if len(w) >= MIN_WORDS])[:200].astype(int)]
+        held = [k for k, w in enumerate(self.words) if len(w) >= MIN_WORDS]
+        chosen = np.resize(rng.permutation(held), PROBES).astype(int).tolist() if held else []  # few items are edited more than once
+        probe = [(k, [b"\x00"] * int(rng.integers(0, 37)) + self._edited(self.words[k], rng, 1 - similarity)) for k in chosen]
+        missed = probe
         for self.repetitions in range(1, REPETITIONS + 1):
             self._build(self.repetitions - 1)
-            found = sum(any(self.words[k] == self.words[x] for x, _ in c) for (k, _), c in zip(probe, self.candidates([w for _, w in probe])))
-            if found >= recall * len(probe):
+            found = self.candidates([w for _, w in missed], range(self.repetitions - 1, self.repetitions))
+            missed = [(k, w) for (k, w), c in zip(missed, found) if not any(self.words[k] == self.words[x] for x, _ in c)]
+            if len(missed) <= (1 - recall) * len(probe):
                 break
+        else:
+            raise ValueError(f"{REPETITIONS} repetitions find {1 - len(missed) / len(probe):.3f} of edited items, not {recall}")
+        self.recall = 1 - len(missed) / max(1, len(probe))
 
     @staticmethod
     def _edited(item: list[bytes], rng, rate: float) -> list[bytes]:
         out = list(item)
-        for _ in range(int(rate * len(item) + 0.5)):
+        for _ in range(int(rate * len(item) + 1e-9)):
             at, kind = int(rng.integers(0, len(out))), int(rng.integers(0, 3))
             out[at : at + (kind != 1)] = [b"\xff\xfe%d" % rng.integers(0, 1 << 30)] * (kind != 2)
         return out
@@ -119,18 +131,24 @@ class Index:
         return (rng.integers(0, 1 << 63, steps, dtype=np.uint64) << np.uint64(1)) | np.uint64(1), sampled
 
     def embed(self, c: int, r: int, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """The key of the window at each start."""
+        """The key of the window at each start. After the last word, hashes have as many zeros as a walk has steps."""
         odd, sampled = self._walk(c, r)
         ends, at, key = starts + self.classes[c][0], starts.copy(), np.zeros(len(starts), np.uint64)
-        take = set(sampled.tolist())
-        for j in range(int(sampled[-1]) + 1):
-            h = np.where(at < ends, hashes[np.minimum(at, len(hashes) - 1)], np.uint64(0))
-            if j in take:
-                key = (key ^ h) * np.uint64(0x9E3779B97F4A7C15)
+        take, last = set(sampled.tolist()), int(sampled[-1])
+        for j in range(last + 1):
+            h = hashes[at]
+            if j in take:  # a walk that has left its window reads zero, wherever it is
+                key = (key ^ np.where(at < ends, h, np.uint64(0))) * np.uint64(0x9E3779B97F4A7C15)
                 key ^= key >> np.uint64(29)
-            at += ((h * odd[j]) >> np.uint64(63)).astype(np.int64)
+            if j < last:
+                h *= odd[j]
+                h >>= np.uint64(63)
+                at += h.view(np.int64)
         return key
 
+    def _padding(self) -> list[int]:
+        return [0] * (2 * max((size for size, _, _ in self.classes), default=0) + 1)
+
     def _build(self, r: int) -> None:
         seen = _Hashes()
         for c, (size, _, held) in enumerate(self.classes):
@@ -139,23 +157,23 @@ class Index:
                 starts += range(len(hashes), len(hashes) + len(self.words[k]) - size + 1)
                 of += [(k, o) for o in range(len(self.words[k]) - size + 1)]
                 hashes += map(seen.__getitem__, self.words[k])
-            keys = self.embed(c, r, np.array(hashes, np.uint64), np.array(starts, np.int64))
+            keys = self.embed(c, r, np.array(hashes + self._padding(), np.uint64), np.array(starts, np.int64))
             order = np.argsort(keys, kind="stable")
             self.keys[c, r] = keys[order], np.array(of, np.int64)[order]
 
-    def candidates(self, texts: list[list[bytes]]) -> list[set[tuple[int, int]]]:
-        """For each text, (item's place, word where the item would begin)."""
+    def candidates(self, texts: list[list[bytes]], repetitions=None) -> list[set[tuple[int, int]]]:
+        """For each text, (item's place, word where the item would begin), by all repetitions or some."""
         out: list[set[tuple[int, int]]] = [set() for _ in texts]
         first = np.cumsum([0, *map(len, texts)])
         if not first[-1]:
             return out
         seen = self.__dict__.setdefault("_seen", _Hashes())
-        hashes = np.fromiter((seen[w] for t in texts for w in t), np.uint64, int(first[-1]))
+        hashes = np.concatenate((np.fromiter((seen[w] for t in texts for w in t), np.uint64, int(first[-1])), np.array(self._padding(), np.uint64)))
         for c, (size, step, _) in enumerate(self.classes):
             starts = np.concatenate([np.arange(a, b - size + 1, step) for a, b in zip(first[:-1], first[1:])])
             if not starts.size:
                 continue
-            for r in range(self.repetitions):
+            for r in repetitions or range(self.repetitions):
                 keys, of = self.keys[c, r]
                 made = self.embed(c, r, hashes, starts)
                 left = np.searchsorted(keys, made)
@@ -201,18 +219,22 @@ class Index:
 
 
 def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", **settings) -> list[Index]:
-    """The items in blocks of about BLOCK_WORDS words, one Index each; no more than a block is ever brought to the driver at once.
+    """The items in blocks of about BLOCK_WORDS words, one Index each; a block, or an item that is longer, is what is brought
+    to the driver at once.
 
-    Null texts and items without any word are passed over, repeated items are each reported.
+    Null texts and items without any word are passed over. Items repeated with their text are held once, with their number.
     """
-    rows = benchmark.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    total = rows.agg(F.coalesce(F.sum(F.size(F.split("text", " ")) + F.length(F.regexp_replace("text", r"[\x00-\u0DFF]", ""))), F.lit(0))).first()[0]
+    rows = benchmark.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text")).where("text is not null").groupBy("item", "text").agg(F.count("*").alias("times"))
+    n_words = F.size(F.split("text", r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+")) + 2 * F.length(F.regexp_replace("text", r"[\x00-\u0DFF]", ""))  # or fewer
+    total = rows.agg(F.coalesce(F.sum(n_words), F.lit(0))).first()[0]
     n = max(1, -(-total // BLOCK_WORDS))
     out = []
     for k in range(n):
         part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("text", "item"), F.lit(n)) == k)
-        index = Index([(r.item, r.text) for r in part.orderBy("item", "text").collect()], **settings)
+        held = part.orderBy("item", "text").collect()
+        index = Index([(r.item, r.text) for r in held], **settings)
         if index.words:
+            index.times = [r.times for r in held if words(r.text)]
             out.append(index)
     return out
 
@@ -233,10 +255,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """id_col, item_id, edits, n_words (of the item), similarity: one row per document and item that it holds.
 
     A match is a passage within (1 - similarity) x words of the item in edits; of an item of under MIN_WORDS words, its
-    exact words. Null and empty texts hold nothing. Repeated
-    rows give repeated results; an empty table on either side gives no rows; other columns are ignored.
+    exact words. Null and empty texts hold nothing. Repeated rows and repeated items give repeated results; an empty table on
+    either side gives no rows; other columns are ignored. An item found at several places is one row, with its least edits.
     """
-    spark = docs.sparkSession
+    spark = shipped(docs).sparkSession
     kind, item_kind = docs.schema[id_col].dataType, benchmark.schema[item_col].dataType
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("item_id", item_kind), T.StructField("edits", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("similarity", T.DoubleType())])
     own = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
@@ -248,7 +270,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             ix = shared.value
             for b in batches:
                 for part, held in _batches(b, 1):
-                    rows = [(part.column(0)[k].as_py(), ix.ids[i], e, len(ix.words[i]), 1 - e / len(ix.words[i])) for k, m in enumerate(ix.matches(held)) for i, e in sorted(m.items())]
+                    rows = [(part.column(0)[k].as_py(), ix.ids[i], e, len(ix.words[i]), 1 - e / len(ix.words[i])) for k, m in enumerate(ix.matches(held)) for i, e in sorted(m.items()) for _ in range(ix.times[i])]
                     yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], types)
 
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -261,7 +283,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **settings) -> DataFrame:
     """docs without the rows that hold an item; what contaminated() says of nulls and empty tables holds here too."""
-    at = docs.columns.index(text_col)
+    at = shipped(docs).columns.index(text_col)
     for index in indexes(benchmark, **settings):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
