@@ -1,10 +1,15 @@
 """The main text of web pages by tag-path ratios.
 
-A page becomes a sequence of text blocks, each with its root-to-leaf tag path. Per path, the length of text and the
-punctuation are summed; both ratios, per text node, are smoothed over neighbouring paths and fused by multiplication.
-Paths above the threshold are content; the innermost container that holds most of their text is the article, and its
-blocks are the result, without those of menus, headers, footers, asides, notices, adverts, forms and comments, which their
-tags or class and id words give away.
+A page is read once, from left to right, into elements and text nodes; a node's tag path has the name and class of each
+element from the root to the leaf. Per path, the length of text and the punctuation are summed; both, per text node, are
+smoothed over neighbouring paths in page order and fused by multiplication. Nodes whose path reaches the threshold are
+content. They select the container: the page's article elements if these hold a fair part of the content, else the
+innermost element that holds nearly all of it. The result is an article's blocks, short headings and list items included;
+of a container that no tag marks, the blocks from the first content to the last, with the headings just before.
+
+What the contract names goes by its tag, or by a class, id or role all of whose words name it: `share-price` and
+`notice-of-death` are no adverts. Words that only hint at a side matter (related, share, social) leave it to the ratios:
+such an element goes if none of its paths is content. Time is linear in the page.
 """
 
 from __future__ import annotations
@@ -18,13 +23,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+from corpusloom.llm._common import shipped
+
+_START = re.compile(r"<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_END = re.compile(r"</([a-zA-Z][^\s/>]*+)[^>]*+>")
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?+")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 _PUNCTUATION = re.compile(r"[.,;:!?、。，！？；]")
+_WORD = re.compile(r"[a-z]+")
 
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "canvas"}
+RAW = {n: re.compile(rf"</{n}(?=[\s/>])[^>]*+>", re.I) for n in ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "object", "canvas")}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption",
@@ -32,142 +41,223 @@ BLOCKS = {
     "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
 AWAY = {"nav", "header", "footer", "aside", "form", "menu", "button", "select", "dialog", "head", "fieldset", "label", "option"}
-#: Elements that hold the page or its article, whatever their class says.
-WHOLE = {"html", "body", "main"}
-#: Words in class, id or role that mark what is not the article.
+#: Elements that hold the page, its article or a heading or cell of it, whatever their class says.
+OWN = {"html", "body", "main", "article", "h1", "h2", "h3", "h4", "h5", "h6", "table", "tbody", "thead", "tfoot", "tr", "th", "td", "math"}
+#: Words in class, id or role that name what is not the article; that hint at it; and that say nothing.
 AWAY_WORDS = {
-    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "contentinfo",
-    "consent", "cookie", "cookies", "disqus", "footer", "form", "gdpr", "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices",
-    "pagination", "popup", "promo", "promoted", "promotion", "related", "replies", "reply", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored",
-    "subscribe", "toolbar", "widget",
+    "ad", "ads", "advert", "adverts", "advertisement", "advertisements", "advertising", "banner", "banners", "breadcrumb", "breadcrumbs", "comment", "comments",
+    "complementary", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "form", "forms", "gdpr", "header", "login", "masthead", "menu", "menus", "nav",
+    "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "promos", "promoted", "promotion", "replies", "reply", "respond",
+    "search", "sidebar", "sidebars", "signup", "sponsor", "sponsored", "sponsors", "subscribe",
+}
+HINT_WORDS = {"modal", "popular", "recommended", "related", "share", "sharing", "skip", "social", "teaser", "teasers", "toolbar", "trending", "widget", "widgets"}
+NEUTRAL_WORDS = {
+    "area", "article", "bar", "block", "body", "bottom", "box", "button", "buttons", "column", "container", "content", "entry", "fixed", "global", "group", "holder", "inner",
+    "item", "items", "left", "link", "links", "list", "main", "mobile", "module", "outer", "page", "panel", "placeholder", "post", "posts", "primary", "region", "reader",
+    "readers", "right", "row", "secondary", "section", "site", "slot", "sticky", "stories", "story", "text", "thread", "top", "unit", "user", "wrap", "wrapper", "zone",
 }
+#: A header of these is the article's own.
+PARTS = {"article", "content", "entry", "post", "section", "story"}
 #: A path is content if its fused ratio reaches this share of the standard deviation over the page's paths.
 THRESHOLD = 0.5
+#: Parts of the content that article elements, or else the innermost container, have to hold.
+ARTICLES, CONTAINER = 0.2, 0.9
 
 
-def _away(name: str, attributes: str) -> bool:
-    if name in AWAY:
-        return True
-    if not attributes or name in WHOLE:  # a body of class has-sidebar is no sidebar
-        return False
-    said = " ".join("".join(m) for m in _NAMES.findall(attributes))
-    return bool(said and not AWAY_WORDS.isdisjoint(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", said).lower()))) or bool(_HIDDEN.search(attributes))
+def _kind(name: str, attributes: str) -> tuple[int, str]:
+    """2 if the element is away, 1 if its names hint at that, 0 if not; and its class."""
+    kind, style = 2 if name in AWAY else 0, ""
+    for m in _ATTRIBUTE.finditer(attributes) if attributes.strip(" /\n\t") else ():
+        key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if key == "class":
+            style = " ".join(value.lower().split())
+        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and _NONE.search(value)):
+            kind = 2
+        elif key in ("class", "id", "role") and name not in OWN:
+            for token in value.split():
+                words = set(_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower()))
+                named, hints = words & AWAY_WORDS, words & HINT_WORDS
+                if words - named - hints - NEUTRAL_WORDS or not named | hints or (named == {"header"} and words & PARTS):
+                    continue
+                kind = max(kind, 2 if named else 1)
+    return kind, style
 
 
-def blocks(page: str) -> list[tuple[tuple[tuple[str, int], ...], str, bool]]:
-    """(path, text, away) of each text block in page order; a path names each open element and its number in the page."""
-    out: list[tuple[tuple[tuple[str, int], ...], str, bool]] = []
-    open_: list[tuple[str, int, bool]] = []  # name, number, away or within such
-    text: list[str] = []
-    number = at = 0
+class Page:
+    """Elements and text nodes of a page.
+
+    An element is (parent, path, kind, is a block, name); a node (element, block, text). Elements and paths are
+    numbered, so that no list of ancestors is ever copied.
+    """
 
-    def flush() -> None:
+    def __init__(self, page: str):
+        self.elements: list[tuple[int, int, int, bool, str]] = [(-1, 0, 0, True, "")]
+        self.nodes: list[tuple[int, int, str]] = []
+        self._paths: dict[tuple[int, str, str], int] = {}
+        self._open: list[tuple[str, int]] = [("", 0)]
+        self._held: dict[str, int] = {}  # open elements of a name
+        self._block = 0
+        self._read(page)
+
+    def _text(self, text: str) -> None:
         if text:
-            said = _SPACE.sub(" ", html.unescape("".join(text))).strip(" ")
-            text.clear()
-            if said:
-                out.append((tuple((n, k) for n, k, _ in open_ if n in BLOCKS), said, bool(open_) and open_[-1][2]))
-
-    def close(name: str) -> None:
-        for k in range(len(open_) - 1, -1, -1):
-            if open_[k][0] == name:
-                del open_[k:]
-                return
-
-    position, n = 0, len(page)
-    while position < n:
-        m = _TAG.search(page, position)
-        if not m:
-            break
-        if m.start() > position:
-            text.append(page[position : m.start()])
-        position = m.end()
-        name = (m[2] or "").lower()
-        if not name:
-            continue
-        if m[1]:
-            if name in BLOCKS:
-                flush()
-            if name == "p" or any(n == name for n, _, _ in open_):
-                close(name)
-            continue
-        if name in RAW:
-            if not m[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, position)
-                position = end.end() if end else n
-            continue
-        if name == "br":
-            text.append(" ")
-            continue
+            self.nodes.append((self._open[-1][1], self._block, html.unescape(text) if "&" in text else text))
+
+    def _close_to(self, k: int) -> None:
+        for name, _ in self._open[k:]:
+            self._held[name] -= 1
+        del self._open[k:]
+
+    def _close(self, name: str) -> None:
+        if self._held.get(name):
+            for k in range(len(self._open) - 1, 0, -1):
+                if self._open[k][0] == name:
+                    return self._close_to(k)
+
+    def _close_item(self, name: str) -> None:
+        """An item ends the item before it, if no list or table opened between them."""
+        names = ("dt", "dd") if name in ("dt", "dd") else (name,)
+        if any(self._held.get(n) for n in names):
+            for k in range(len(self._open) - 1, 0, -1):
+                if self._open[k][0] in names:
+                    return self._close_to(k)
+                if self._open[k][0] in ("ul", "ol", "table", "dl", "menu"):
+                    return None
+
+    def _enter(self, name: str, attributes: str) -> None:
         if name in BLOCKS:
-            flush()
-            if any(n == "p" for n, _, _ in open_) and name not in ("html", "body"):
-                close("p")
-            if name in ("li", "td", "th", "tr", "dt", "dd", "option"):
-                for k in range(len(open_) - 1, -1, -1):
-                    if open_[k][0] in ("ul", "ol", "table", "dl", "menu"):
-                        break
-                    if open_[k][0] == name or (name in ("dt", "dd") and open_[k][0] in ("dt", "dd")):
-                        del open_[k:]
-                        break
-        if name not in VOID and not m[3].endswith("/"):
-            number += 1
-            open_.append((name, number, _away(name, m[3]) or bool(open_ and open_[-1][2])))
-    if position < n:
-        text.append(page[position:])
-    flush()
-    return out
-
-
-def _ratios(found) -> dict[tuple[str, ...], float]:
-    """Fused tag-path ratio of each path."""
-    length: dict[tuple[str, ...], list[float]] = {}
-    for path, said, away in found:
-        if not away:
-            row = length.setdefault(tuple(n for n, _ in path), [0.0, 0.0, 0.0])
-            row[0] += len(said)
-            row[1] += len(_PUNCTUATION.findall(said))
-            row[2] += 1
-    if not length:
-        return {}
-    table = np.array(list(length.values()))
+            self._block += 1
+            if name not in ("html", "body"):
+                self._close("p")
+            if name in ("li", "td", "th", "tr", "dt", "dd"):
+                self._close_item(name)
+        elif name == "option":
+            self._close_item(name)
+        if name == "br":
+            self._text(" ")
+        if name in VOID or attributes.endswith("/"):
+            return
+        parent = self._open[-1][1]
+        kind, style = _kind(name, attributes)
+        path = self._paths.setdefault((self.elements[parent][1], name, style), len(self._paths) + 1)
+        self._open.append((name, len(self.elements)))
+        self._held[name] = self._held.get(name, 0) + 1
+        self.elements.append((parent, path, kind, name in BLOCKS, name))
+
+    def _leave(self, name: str) -> None:
+        self._block += name in BLOCKS
+        self._close(name)
+
+    def _read(self, page: str) -> None:
+        at, n = 0, len(page)
+        while at < n:
+            tag = page.find("<", at)
+            if tag < 0:
+                return self._text(page[at:])
+            after = page[tag + 1 : tag + 2]
+            if after in ("!", "?"):
+                self._text(page[at:tag])
+                mark = "-->" if page.startswith("<!--", tag) else ">"
+                end = page.find(mark, tag + 2)
+                at = end + len(mark) if end >= 0 else n
+            elif after == "/" and page[tag + 2 : tag + 3].isalpha():
+                self._text(page[at:tag])
+                if m := _END.match(page, tag):
+                    self._leave(m[1].lower())
+                at = m.end() if m else n
+            elif after.isascii() and after.isalpha():
+                self._text(page[at:tag])
+                m = _START.match(page, tag)
+                if m:
+                    name, attributes, at = m[1].lower(), m[2], m.end()
+                else:  # a quote that never ends; without any > the rest is one tag
+                    end = page.find(">", tag)
+                    if end < 0:
+                        return
+                    name, attributes, at = re.match(r"[^\s/>]+", page[tag + 1 : end])[0].lower(), "", end + 1
+                if name in RAW:
+                    if not attributes.endswith("/"):
+                        end = RAW[name].search(page, at)
+                        at = end.end() if end else n
+                else:
+                    self._enter(name, attributes)
+            else:
+                self._text(page[at : tag + 1])
+                at = tag + 1
+
+
+def ratios(length: np.ndarray, punctuation: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """The fused ratio of each path, from its sums of text and punctuation and its number of nodes; paths in page order."""
     kernel = np.exp(-np.arange(-1, 2) ** 2 / 2.0)
 
     def smooth(x):
-        padded = np.pad(x, 1, mode="edge")
-        return np.maximum(np.convolve(padded, kernel / kernel.sum(), "valid"), x * 0.5)
+        return np.maximum(np.convolve(np.pad(x, 1, mode="edge"), kernel / kernel.sum(), "valid"), x * 0.5)
 
-    fused = smooth(table[:, 0] / table[:, 2]) * smooth((table[:, 1] + 1) / table[:, 2])
-    return dict(zip(length, fused))
+    return smooth(length / nodes) * smooth((punctuation + 1) / nodes)
 
 
 def main_text(page: str | None) -> str:
     """The blocks of the article, joined by line feeds; empty if the page has none."""
-    found = blocks(page or "")
-    ratios = _ratios(found)
-    if not ratios:
-        return ""
-    least = THRESHOLD * float(np.std(list(ratios.values()))) if len(ratios) > 1 else 0.0
-    weight: dict[tuple[tuple[str, int], ...], int] = {}
-    total = 0
-    for path, said, away in found:
-        if away or ratios[tuple(n for n, _ in path)] < least:
-            continue
-        total += len(said)
-        for k in range(len(path) + 1):
-            weight[path[:k]] = weight.get(path[:k], 0) + len(said)
-    if not total:
+    read = Page(page or "")
+    elements = read.elements
+    away = [False] * len(elements)
+    for k, (parent, _, kind, _, _) in enumerate(elements):
+        away[k] = kind == 2 or (parent >= 0 and away[parent])
+    # the paths of what is not away, in page order, and their ratios
+    places: dict[int, int] = {}
+    sums: list[list[int]] = []
+    for e, _, text in read.nodes:
+        if not away[e] and (size := len(_SPACE.sub(" ", text).strip(" "))):
+            row = places.setdefault(elements[e][1], len(sums))
+            if row == len(sums):
+                sums.append([0, 0, 0])
+            sums[row][0] += size
+            sums[row][1] += len(_PUNCTUATION.findall(text))
+            sums[row][2] += 1
+    if not sums:
         return ""
-    marked = [p for p in weight if p and p[-1][0] in ("article", "main")]
-    articles = [p for p in marked if p[-1][0] == "article"] or marked
-    if articles and max(weight[p] for p in articles) * 5 >= total:
-        chosen = [p for p in articles if not any(q != p and p[: len(q)] == q for q in articles)]
-    else:  # the innermost container that holds nearly all content; a single leaf is its container
-        near = [p for p in weight if weight[p] * 10 >= 9 * total]
-        deepest = max(near, key=len)
-        leafs = {path for path, _, _ in found}
-        chosen = [deepest[:-1] if deepest in leafs and len(leafs) > 1 and deepest else deepest]
-    return "\n".join(said for path, said, away in found if not away and any(path[: len(c)] == c for c in chosen))
+    fused = ratios(*np.array(sums, float).T)
+    content = fused >= (THRESHOLD * float(np.std(fused)) if len(fused) > 1 else 0.0)
+    # what each element holds of content
+    weight = [0] * len(elements)
+    for e, _, text in read.nodes:
+        if not away[e] and (row := places.get(elements[e][1])) is not None and content[row]:
+            weight[e] += len(_SPACE.sub(" ", text).strip(" "))
+    for k in range(len(elements) - 1, 0, -1):
+        weight[elements[k][0]] += weight[k]
+    for k, (parent, _, kind, _, _) in enumerate(elements):
+        away[k] = away[k] or (kind == 1 and not weight[k]) or (parent >= 0 and away[parent])
+    # the container: outermost articles, or the innermost block that holds nearly all content
+    inside = [0] * len(elements)
+    for k in range(1, len(elements)):
+        inside[k] = inside[elements[k][0]] or (k if elements[k][4] in ("article", "main") and not away[k] else 0)
+    chosen = {k for k in range(1, len(elements)) if inside[k] == k}
+    marked = bool(chosen) and sum(weight[k] for k in chosen) >= ARTICLES * weight[0]
+    if not marked:
+        parents = {parent for parent, _, _, is_block, _ in elements if is_block}  # a single leaf is no container
+        near = [k for k, (_, _, _, is_block, _) in enumerate(elements) if is_block and weight[k] >= CONTAINER * weight[0] and k in parents]
+        chosen = {near[-1] if near else 0}  # those that hold over half of it lie in one another, the innermost last
+    within = [False] * len(elements)
+    for k, (parent, *_) in enumerate(elements):
+        within[k] = k in chosen or (parent >= 0 and within[parent])
+    texts: dict[int, list[str]] = {}
+    full, heading = set(), set()
+    for e, block, text in read.nodes:
+        if within[e] and not away[e]:
+            texts.setdefault(block, []).append(text)
+            if (row := places.get(elements[e][1])) is not None and content[row]:
+                full.add(block)
+            if elements[e][4] in ("h1", "h2", "h3", "h4", "h5", "h6"):
+                heading.add(block)
+    said = [(block, _SPACE.sub(" ", "".join(t)).strip(" ")) for block, t in texts.items()]
+    said = [(block, text) for block, text in said if text]
+    if not marked and full:
+        at = [k for k, (block, _) in enumerate(said) if block in full] or [0]
+        first = at[0]
+        while first and said[first - 1][0] in heading:
+            first -= 1
+        said = said[first : at[-1] + 1]
+    return "\n".join(text for _, text in said)
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
@@ -176,7 +266,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     A null or empty page gives an empty text. Repeated rows give repeated results, an empty table none; columns of pages
     that are called text or n_chars are replaced.
     """
-    kept = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
+    kept = [c for c in shipped(pages).columns if c not in (html_col, "text", "n_chars")]
     fields = [pages.schema[c] for c in kept] + [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]
 
     def run(batches):
@@ -186,4 +276,4 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
                 texts = [main_text(x.as_py()) for x in part.column(len(kept))]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [f.name for f in fields])
 
-    return pages.select(*[F.col(c) for c in kept], F.col(html_col).cast("string")).mapInArrow(run, T.StructType(fields))
+    return pages.select(*[F.col(f"`{c}`") for c in kept], F.col(html_col).cast("string")).mapInArrow(run, T.StructType(fields))
