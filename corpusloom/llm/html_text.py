@@ -58,8 +58,8 @@ NEUTRAL_WORDS = {
 }
 #: A header of these is the article's own.
 PARTS = {"article", "content", "entry", "post", "section", "story"}
-#: A path is content if its fused ratio reaches this share of the standard deviation over the page's paths.
-THRESHOLD = 0.5
+#: A path is content if its fused ratio reaches this share of the standard deviation over the page's paths; the width of smoothing.
+THRESHOLD, SIGMA = 0.5, 0.5
 #: Parts of the content that article elements, or else the innermost container, have to hold.
 ARTICLES, CONTAINER = 0.2, 0.9
 
@@ -188,7 +188,7 @@ class Page:
 
 def ratios(length: np.ndarray, punctuation: np.ndarray, nodes: np.ndarray) -> np.ndarray:
     """The fused ratio of each path, from its sums of text and punctuation and its number of nodes; paths in page order."""
-    kernel = np.exp(-np.arange(-1, 2) ** 2 / 2.0)
+    kernel = np.exp(-np.arange(-1, 2) ** 2 / (2 * SIGMA**2))
 
     def smooth(x):
         return np.maximum(np.convolve(np.pad(x, 1, mode="edge"), kernel / kernel.sum(), "valid"), x * 0.5)
