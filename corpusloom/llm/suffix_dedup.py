@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm._common import cut, shuffle_partitions
+from corpusloom.llm._common import cut, shipped, shuffle_partitions
 
 LENGTH, GRAM = 50, 24
 SPAN = LENGTH - GRAM  # bytes of a window besides its gram
@@ -443,10 +443,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per row of docs: id_col, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (the bytes that stay).
 
     A byte goes if a 50-byte string that covers it also starts in a document of a smaller id. Rows that repeat an id are
-    one rank and remove nothing from each other. A null text counts as empty; a null id counts as larger than any other.
-    An empty table gives no rows; other columns are ignored.
+    one rank and remove nothing from each other. A null text counts as empty; a null id counts as larger than any other but
+    2**63 - 1, which ranks with it. Ids are whole numbers of up to 64 bits; other types are an error. An empty table gives
+    no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
+    spark = shipped(docs).sparkSession
+    if docs.schema[id_col].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"{id_col} must be a whole number")
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     chunks, _ = cut(own.mapInArrow(_chunks, CHUNKS), "chunks")
     total = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
