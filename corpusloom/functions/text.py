@@ -52,8 +52,9 @@ def article_or_all(c: Column) -> Column:
 
 
 def reply_scores(reply: Column, required=("depth", "evidence", "genre", "topic")) -> Column:
-    """struct of a judge's reply: up to the first closing brace; null where a key is missing or a number isn't one."""
+    """struct of a judge's reply: up to the first closing brace; null where that is no JSON, a key is missing or a number isn't one."""
     body = F.regexp_extract(reply, r"(?s)\{.*?\}", 0)
+    body = F.when(F.try_parse_json(body).isNotNull(), body)
     raw = {k: F.get_json_object(body, f"$.{k}") for k in required}
     # a quoted number must be whole, a bare one is cut off
     whole = {k: F.when(body.rlike(rf'"{k}"\s*:\s*"'), F.when(raw[k].rlike(r"^\s*[+-]?\d+\s*$"), raw[k].try_cast("int"))).otherwise(raw[k].try_cast("double").cast("int")) for k in ("depth", "evidence") if k in raw}

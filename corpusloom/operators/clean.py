@@ -22,13 +22,18 @@ def cut_comments(c: Column) -> Column:
 
 
 def drop_lines_raw(c: Column) -> Column:
-    return F.filter(splitlines(c), lambda x: ~_let(strip(x), rules.drops_raw))
+    return F.filter(splitlines(c), lambda x: ~_let(strip(x), lambda y: F.coalesce(rules.drops_raw(y), F.lit(False))))
 
 
 def fix_heading(line: Column) -> Column:
-    """`_ _ X _ _` becomes `## X`."""
-    inner = strip(F.regexp_replace(F.regexp_extract(strip(line), r"(?d)^_\s+_(.*)_\s+_$", 1), "^_+|_+$", ""))
-    return F.when(strip(line).rlike(r"(?d)^_\s+_(.*)_\s+_$") & (inner != ""), F.concat(F.lit("## "), inner)).otherwise(line)
+    """A title of up to thirty characters between underscores becomes `## title`; any other line stays."""
+    pattern = "(?d)(?U)" + rules.HEADING
+
+    def fixed(x: Column) -> Column:
+        title = strip(F.regexp_replace(strip(F.regexp_extract(x, pattern, 2)), "^_+|_+$", ""))
+        return F.when(x.rlike(pattern) & (title != ""), F.concat(F.lit("## "), title)).otherwise(line)
+
+    return F.when(F.contains(line, F.lit("_")), _let(strip(line), lambda x: F.when(F.startswith(x, F.lit("_")), fixed(x)).otherwise(line))).otherwise(line)
 
 
 def squeeze(c: Column) -> Column:
@@ -75,15 +80,19 @@ def strip_head(lines: Column) -> Column:
 
 
 def clean_final(c: Column) -> Column:
-    return squeeze(F.array_join(strip_head(strip_tail(cut_tail_block(drop_noise(splitlines(c))))), "\n"))
+    """An article without noise lines, tail block and junk at its end; the zone of the tail is counted on the stripped article."""
+    return squeeze(F.array_join(strip_head(strip_tail(cut_tail_block(drop_noise(splitlines(strip(c)))))), "\n"))
 
 
 def final_record(output: Column, least: int = 800, charset: str = HAN) -> Column:
     """struct<status, output>: untagged (kept as it is, not counted), untouched, cleaned or dropped."""
-    body = F.regexp_extract(output, "(?s)<article>(.*?)</article>", 1)
+    pattern = r"(?s)<article>\n?(.*?)\n?</article>"
+    body, tagged = F.regexp_extract(output, pattern, 1), output.rlike(pattern)
     new = clean_final(body)
-    whole = F.concat(F.substring_index(output, "<article>", 1), F.lit("<article>\n"), new, F.lit("\n</article>"))
-    tagged = output.rlike("(?s)<article>.*?</article>")
+    before = F.substring_index(output, "<article>", 1)
+    rest = F.substring(output, F.length(before) + len("<article>") + 1, F.length(output))
+    after = F.substring(rest, F.instr(rest, "</article>") + len("</article>"), F.length(rest))
+    whole = F.concat(before, F.lit("<article>\n"), new, F.lit("\n</article>"), after)
     status = F.when(~tagged, "untagged").when(count_of(new, charset) < least, "dropped").when(new == strip(body), "untouched").otherwise("cleaned")
     return F.struct(status.alias("status"), F.when(status == "cleaned", whole).otherwise(output).alias("output"))
 
@@ -113,13 +122,20 @@ def warnings_forward(thinking: Column, article: Column, charset: str = HAN) -> C
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
 
-def warnings_reverse(input_: Column, thinking: Column) -> Column:
+def warnings_reverse(input_: Column, thinking: Column, least: int | None = None, charset: str = HAN) -> Column:
+    """All that is amiss; with least, thinking of fewer characters too."""
     found = [F.when(~F.contains(input_, F.lit(f)), F.lit(f"no {f}")) for f in rules.INPUT_FIELDS]
     found += [F.when(~F.contains(thinking, F.lit("核心矛盾")), F.lit("no 核心矛盾"))]
     found += [F.when(F.contains(thinking, F.lit(k)), F.lit(f"review tone {k}")) for k in rules.REVIEW_TONE]
+    found += [F.when(count_of(thinking, charset) < least, F.lit("short thinking"))] if least else []
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
 
+def without_prefix(docs, name: str = "name", prefix: str = rules.TITLE_PREFIX):
+    """docs but for those whose name begins with the prefix; a null name stays."""
+    return docs.where(~F.coalesce(F.startswith(F.col(name), F.lit(prefix)), F.lit(False)))
+
+
 def ab_score(raw: Column, charset: str = HAN) -> Column:
     """The ten-point rubric in hundredths: format, five points, tone, length."""
     asked, thought = F.regexp_extract(raw, "(?s)<input>(.*?)</input>", 1), F.regexp_extract(raw, "(?s)<thinking>(.*?)</thinking>", 1)

@@ -29,6 +29,9 @@ RAW_LINE_DROP = (
     r"^.*来源[｜|].*封面来源.*$",
 )
 RAW_EXACT = ("End", "阅读", "去阅读", "[")
+#: A garbled heading: its second group is the title.
+HEADING = r"^_+\s*(_*\s*)?(.{1,30}?)\s*_+\s*(_+\s*)?$"
+TITLE_PREFIX = "早报"
 COMMENT_MARKERS = ("分享  留言  收藏", "精选留言", "微信扫一扫", "继续滑动看下一个", "本内容由作者授权发布", "如对本稿件有异议或投诉")
 LINE_NOISE = (
     (r"^\s*[*_\s]*(作者|编辑|排版|校对|设计|策划|视觉|运营|监制|出品)\s*[:：|｜]", 60),
@@ -74,12 +77,43 @@ def _any(columns) -> Column:
     return reduce(lambda a, b: a | b, columns, F.lit(False))
 
 
+def _guarded(line: Column, pattern: str) -> Column:
+    """Whether the pattern is found. A literal that every match holds is looked for first, which costs far less than the pattern."""
+    literals = NEEDS.get(pattern)
+    found = line.rlike(r"(?d)(?U)" + pattern)
+    return _any(F.contains(line, F.lit(x)) for x in literals) & found if literals else found
+
+
+#: For the patterns that scan long lines: literals, one of which each match holds.
+NEEDS = {
+    RAW_LINE_DROP[8]: ("👉",),
+    RAW_LINE_DROP[17]: ("封面来源",),
+    LINE_NOISE[3][0]: ("@",),
+    SCAN["byline"][0]: ("作者", "编辑", "排版", "校对", "设计"),
+    SCAN["email"][0]: ("@",),
+    SCAN["references"][0]: ("http",),
+    EVAL[1]: ("作者", "编辑", "排版", "校对", "责编", "监制", "策划"),
+    EVAL[4]: ("http",),
+}
+#: Patterns of literals alone, which need no pattern at all.
+_PLAIN = {p: tuple(p.split("|")) for p in (SCAN["cover_source"][0], SCAN["repost"][0], SCAN["prompts"][0], SCAN["wechat"][0], EVAL[0], EVAL[3])}
+
+
+def found(text: Column, pattern: str) -> Column:
+    """Whether one of SCAN's or EVAL's patterns is in the text."""
+    return _any(F.contains(text, F.lit(x)) for x in _PLAIN[pattern]) if pattern in _PLAIN else _guarded(text, pattern)
+
+
 def drops_raw(line: Column) -> Column:
-    return _any([line.rlike(r"(?d)(?U)" + p) for p in RAW_LINE_DROP] + [line.isin(*RAW_EXACT)])
+    """Whether a stripped line goes. All but two of the patterns begin with one of a few signs, which are looked at first."""
+    begun = [p for p in RAW_LINE_DROP if p not in NEEDS]
+    sign = line.rlike(r"(?d)(?U)^[!\[_在去以预原本*\]\s]")
+    return (sign & _any(line.rlike(r"(?d)(?U)" + p) for p in begun)) | _any(_guarded(line, p) for p in RAW_LINE_DROP if p in NEEDS) | line.isin(*RAW_EXACT)
 
 
 def is_noise(line: Column) -> Column:
-    return _any((F.length(line) <= cap) & line.rlike("(?d)(?U)" + p) for p, cap in LINE_NOISE)
+    """Whether a line is noise; no line of over the largest cap is, and most lines end there."""
+    return (F.length(line) <= max(cap for _, cap in LINE_NOISE)) & _any((F.length(line) <= cap) & _guarded(line, p) for p, cap in LINE_NOISE)
 
 
 def is_tail_junk(line: Column) -> Column:
@@ -87,4 +121,4 @@ def is_tail_junk(line: Column) -> Column:
 
 
 def eval_hits(text: Column) -> Column:
-    return reduce(lambda a, b: a + b, [text.rlike("(?d)(?U)" + p).cast("int") for p in EVAL])
+    return reduce(lambda a, b: a + b, [found(text, p).cast("int") for p in EVAL])

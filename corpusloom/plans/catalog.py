@@ -6,26 +6,31 @@ from the deterministic scorer.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as t
 from corpusloom.functions.rouge import rouge_l_udf
-from corpusloom.operators import clean, dedup, metrics, rules, scoring
+from corpusloom.operators import chat, clean, dedup, metrics, rules, scan, scoring
+from corpusloom.session import shared_dir, spread
 from corpusloom.sources.io import table, union_sources
 
 LATIN, HAN_FOR = "abcdefghijklmnopqrstuvwxyz", "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余"
-HEADS = ("作者：某某", "_ _ 标题 _ _", "正文 a@b.com 联系", "**想涨知识**", "去阅读", "普通的一行", "封面来源：网络", "以下文章来源于别处")
+LONG_TITLE = "_" + "长" * 40 + "_"
+HEADS = (
+    "作者：某某", "_ _ 标题 _ _", "正文 a@b.com 联系", "**想涨知识**", "去阅读", "普通的一行", "封面来源：网络", "以下文章来源于别处",
+    "_小标题_", "__双线__", "_ 独行 _ _", LONG_TITLE, "", "编辑：某某\n", "![图](http://x.cn/1.png)",
+)
 TAILS = ("点个在看", "[1] 文献 http://x.cn/1", "参考文献", "微信扫一扫 关注", "修改于", "结尾", "***")
 QUERIES: dict = {}
 SQL: dict = {}
 
 ARTICLES = f"""
 articles AS (
-  SELECT doc_id, source || '_' || doc_id || '.md' AS name, lang, translate(lower(text), '{LATIN}', '{HAN_FOR}') AS han,
-    ({"[" + ", ".join(map(repr, HEADS)) + "]"})[(doc_id % 8 + 1)::INT] || chr(10) || translate(lower(text), '{LATIN}', '{HAN_FOR}') || chr(10) || chr(10) || chr(10) || chr(10) ||
+  SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN '早报' ELSE '' END || source || '_' || doc_id || '.md' AS name, lang, translate(lower(text), '{LATIN}', '{HAN_FOR}') AS han,
+    ({"[" + ", ".join("'" + h.replace(chr(10), "' || chr(10) || '") + "'" for h in HEADS) + "]"})[(doc_id % {len(HEADS)} + 1)::INT] || chr(10) || translate(lower(text), '{LATIN}', '{HAN_FOR}') || chr(10) || chr(10) || chr(10) || chr(10) ||
     ({"[" + ", ".join(map(repr, TAILS)) + "]"})[(doc_id % 7 + 1)::INT] || chr(10) || '尾行' || (doc_id % 3)::VARCHAR AS body
   FROM documents)"""
 COUNT = "len(regexp_replace({}, '[^\\x{{4e00}}-\\x{{9fff}}]', '', 'g'))"
@@ -52,12 +57,12 @@ def query(sql: str | None = None):
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     han = F.translate(F.lower("text"), LATIN, HAN_FOR)
-    head = F.element_at(F.array(*map(F.lit, HEADS)), (F.col("doc_id") % 8 + 1).cast("int"))
+    head = F.element_at(F.array(*map(F.lit, HEADS)), (F.col("doc_id") % len(HEADS) + 1).cast("int"))
     tail = F.element_at(F.array(*map(F.lit, TAILS)), (F.col("doc_id") % 7 + 1).cast("int"))
     body = F.concat(head, F.lit("\n"), han, F.lit("\n\n\n\n"), tail, F.lit("\n尾行"), (F.col("doc_id") % 3).cast("string"))
-    return d.select("doc_id", F.concat("source", F.lit("_"), "doc_id", F.lit(".md")).alias("name"), "lang", han.alias("han"), body.alias("body"))
+    return d.select("doc_id", F.concat(F.when(F.col("doc_id") % 11 == 0, rules.TITLE_PREFIX).otherwise(""), "source", F.lit("_"), "doc_id", F.lit(".md")).alias("name"), "lang", han.alias("han"), body.alias("body"))
 
 
 def scores(spark, sf_dir):
@@ -94,16 +99,39 @@ def extract_tag_article(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.md5(t.tag(F.col("html"), "article").cast("binary")).alias("article"))
 
 
-def _replies(articles_df):
-    i = F.col("doc_id")
-    return F.when(i % 4 == 0, F.concat(F.lit('```json\n{"depth": 4, "evidence": "3", "genre": "访谈", "topic": "其他", "id": '), i, F.lit("}\n```"))).when(i % 4 == 1, '{"depth": 3.7, "evidence": 2, "genre": "访谈", "topic": "科技"}').when(i % 4 == 2, '{"depth": 3, "genre": "访谈"}').otherwise("no json")
+REPLIES = f"""{ARTICLES}, replies AS (
+  SELECT doc_id, CASE doc_id % 6
+    WHEN 0 THEN '```json' || chr(10) || '{{"depth": ' || (doc_id % 5 + 1) || ', "evidence": "' || (length(han) % 5 + 1) || '", "genre": "访谈", "topic": "' || lang || '"}}' || chr(10) || '```'
+    WHEN 1 THEN '{{"depth": ' || (doc_id % 4) || '.7, "evidence": ' || (length(han) % 3) || ', "genre": "访谈", "topic": "' || lang || '"}} {{"depth": 9}}'
+    WHEN 2 THEN '{{"depth": 3, "genre": "' || lang || '"}}'
+    WHEN 3 THEN '{{"depth": "3.7", "evidence": 2, "genre": "访谈", "topic": "' || lang || '"}}'
+    WHEN 4 THEN '{{"depth": 3, "evidence": 2, "genre": {{"of": "访谈"}}, "topic": "' || lang || '"}}'
+    ELSE substr(han, 1, 20) END AS reply FROM articles),
+bodies AS (SELECT doc_id, regexp_extract(reply, '(?s)\\{{.*?\\}}', 0) AS b FROM replies),
+parsed AS (SELECT doc_id, CASE WHEN json_valid(b) THEN b::JSON END AS j FROM bodies),
+fields AS (
+  SELECT doc_id, j->>'topic' AS topic, j->>'genre' AS genre,
+    CASE WHEN json_type(j, 'depth') = 'VARCHAR' THEN TRY_CAST(CASE WHEN regexp_matches(j->>'depth', '^[0-9]+$') THEN j->>'depth' END AS INT) ELSE trunc(TRY_CAST(j->>'depth' AS DOUBLE))::INT END AS depth,
+    CASE WHEN json_type(j, 'evidence') = 'VARCHAR' THEN TRY_CAST(CASE WHEN regexp_matches(j->>'evidence', '^[0-9]+$') THEN j->>'evidence' END AS INT) ELSE trunc(TRY_CAST(j->>'evidence' AS DOUBLE))::INT END AS evidence FROM parsed),
+usable AS (SELECT *, depth IS NOT NULL AND evidence IS NOT NULL AND genre IS NOT NULL AND topic IS NOT NULL AS ok FROM fields)"""
+
+
+def _replies():
+    i, n = F.col("doc_id"), F.length("han")
+    forms = (
+        ('```json\n{"depth": %d, "evidence": "%d", "genre": "访谈", "topic": "%s"}\n```', i % 5 + 1, n % 5 + 1, "lang"), ('{"depth": %d.7, "evidence": %d, "genre": "访谈", "topic": "%s"} {"depth": 9}', i % 4, n % 3, "lang"),
+        ('{"depth": 3, "genre": "%s"}', "lang"), ('{"depth": "3.7", "evidence": 2, "genre": "访谈", "topic": "%s"}', "lang"), ('{"depth": 3, "evidence": 2, "genre": {"of": "访谈"}, "topic": "%s"}', "lang"),
+    )
+    out = F.when(F.lit(False), "")
+    for k, (form, *values) in enumerate(forms):
+        out = out.when(i % 6 == k, F.format_string(form, *values))
+    return out.otherwise(F.substring("han", 1, 20))
 
 
-@query("""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 4 WHEN 1 THEN 3 END AS depth, CASE doc_id % 4 WHEN 0 THEN 3 WHEN 1 THEN 2 END AS evidence, CASE doc_id % 4 WHEN 0 THEN '其他' WHEN 1 THEN '科技' END AS topic FROM documents""")
+@query(f"WITH {REPLIES} SELECT doc_id, CASE WHEN ok THEN depth END AS depth, CASE WHEN ok THEN evidence END AS evidence, CASE WHEN ok THEN topic END AS topic FROM usable")
 def extract_json_score(spark, sf_dir):
     d = articles(spark, sf_dir)
-    s = t.reply_scores(_replies(d))
-    return d.select("doc_id", s.alias("s")).select("doc_id", "s.depth", "s.evidence", "s.topic")
+    return d.select("doc_id", t.reply_scores(_replies()).alias("s")).select("doc_id", "s.depth", "s.evidence", "s.topic")
 
 
 @query(f"WITH {ARTICLES} SELECT doc_id, md5(substr(regexp_replace(han, '[^\\x{{4e00}}-\\x{{9fff}}]', '', 'g'), 1, 500)) AS fp FROM articles")
@@ -122,8 +150,9 @@ trimmed AS (SELECT *, CASE WHEN first IS NULL THEN body ELSE substr(body, 1, fir
 RE2 = [p.replace("'", "''") for p in rules.RAW_LINE_DROP]
 RAW_LINES = f"""{CUT}, lines AS (
   SELECT *, list_filter(string_split(regexp_replace(b, '\\n$', ''), chr(10)), lambda x: NOT ({" OR ".join(f"regexp_matches(trim(x, ' '), '{p}')" for p in RE2)} OR trim(x, ' ') IN ('End', '阅读', '去阅读', '['))) AS kept FROM trimmed)"""
+TITLE = f"trim(trim(trim(regexp_extract(trim(x, ' '), '{rules.HEADING}', 2), ' '), '_'), ' ')"
 FIXED = f"""{RAW_LINES}, fixed AS (
-  SELECT *, list_transform(kept, lambda x: CASE WHEN regexp_matches(x, '^_\\s+_(.*)_\\s+_$') THEN '## ' || trim(regexp_extract(x, '^_\\s+_(.*)_\\s+_$', 1), ' _') ELSE rtrim(x, ' ') END) AS done FROM lines)"""
+  SELECT *, list_transform(kept, lambda x: CASE WHEN starts_with(trim(x, ' '), '_') AND {TITLE} <> '' THEN '## ' || {TITLE} ELSE rtrim(x, ' ') END) AS done FROM lines)"""
 RAW_CLEAN = f"""{FIXED}, raw_clean AS (SELECT *, trim(regexp_replace(array_to_string(done, chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10)) AS cleaned FROM fixed)"""
 
 
@@ -138,10 +167,11 @@ def drop_lines_raw(spark, sf_dir):
     return articles(spark, sf_dir).select("doc_id", kept.alias("k")).select("doc_id", F.size("k").cast("long").alias("n"), F.md5(F.array_join("k", "\n").cast("binary")).alias("kept"))
 
 
-@query(f"WITH {FIXED} SELECT doc_id, len(list_filter(done, lambda x: starts_with(x, '## ')))::BIGINT AS headings FROM fixed")
+@query(f"WITH {FIXED} SELECT doc_id, len(list_filter(done, lambda x: starts_with(x, '## ')))::BIGINT AS headings, list_filter(done, lambda x: starts_with(x, '## '))[1] AS first FROM fixed")
 def fix_headings(spark, sf_dir):
     lines = F.transform(clean.drop_lines_raw(clean.cut_comments(F.col("body"))), clean.fix_heading)
-    return articles(spark, sf_dir).select("doc_id", F.size(F.filter(lines, lambda x: F.startswith(x, F.lit("## ")))).cast("long").alias("headings"))
+    found = articles(spark, sf_dir).select("doc_id", F.filter(lines, lambda x: F.startswith(x, F.lit("## "))).alias("h"))
+    return found.select("doc_id", F.size("h").cast("long").alias("headings"), F.get("h", F.lit(0)).alias("first"))
 
 
 @query(f"WITH {ARTICLES} SELECT doc_id, md5(trim(regexp_replace(body, '\\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10))) AS squeezed FROM articles")
@@ -155,19 +185,11 @@ def clean_raw_full(spark, sf_dir):
     return articles(spark, sf_dir).select("doc_id", c.alias("c")).select("doc_id", F.md5(F.col("c").cast("binary")).alias("cleaned"), t.count_of(F.col("c")).cast("long").alias("n")).where("n >= 1200")
 
 
-@query(f"""WITH {ARTICLES}, c AS (SELECT lang, ({COUNT.format('han')})::BIGINT AS n FROM articles)
-SELECT lang, count(*) AS total, count(*) FILTER (n >= 1200) AS ok, min(n) AS least, list_sort(list(n))[(count(*) // 2 + 1)::INT] AS median, max(n) AS most FROM c GROUP BY lang""")
-def clean_raw_stats(spark, sf_dir):
-    d = articles(spark, sf_dir).select("lang", t.count_of(F.col("han")).cast("long").alias("c"))
-    one = d.groupBy("lang").agg(F.count("*").alias("total"), F.count_if(F.col("c") >= 1200).alias("ok"), F.min("c").alias("least"), F.max("c").alias("most"))
-    return one.join(metrics.by_index(d, ["lang"], "c", {"median": metrics.upper_median()}).drop("n"), "lang")
-
-
 @query(f"""WITH {RAW_CLEAN}, c AS (SELECT lang, coalesce(starts_with(name, '早报'), false) AS skipped, coalesce({COUNT.format('cleaned')}, 0)::BIGINT AS n FROM raw_clean),
 k AS (SELECT *, NOT skipped AND n >= 1200 AS kept FROM c)
 SELECT lang, count(*) AS total, count(*) FILTER (skipped) AS zaobao, count(*) FILTER (NOT skipped AND NOT kept) AS too_short, count(*) FILTER (kept) AS ok,
   min(n) FILTER (kept) AS least, list_sort(list(n) FILTER (kept))[(count(*) FILTER (kept) // 2 + 1)::INT] AS median, max(n) FILTER (kept) AS most FROM k GROUP BY lang""")
-def clean_raw_report(spark, sf_dir):
+def clean_raw_stats(spark, sf_dir):
     n = F.coalesce(t.count_of(clean.clean_raw(F.col("body"))).cast("long"), F.lit(0))
     d = articles(spark, sf_dir).select("lang", "body", F.coalesce(F.startswith("name", F.lit("早报")), F.lit(False)).alias("skipped"))
     counted = d.groupBy("lang", "skipped", F.when(~F.col("skipped"), n).alias("n")).agg(F.count("*").alias("c"))  # the one place that cleans
@@ -184,7 +206,7 @@ def clean_raw_report(spark, sf_dir):
 
 NOISE = " OR ".join(f"(len(x) <= {cap} AND regexp_matches(x, '{re2(p)}'))" for p, cap in rules.LINE_NOISE)
 JUNK = " OR ".join([f"regexp_matches(x, '{p}')" for p in rules.TAIL_JUNK] + [NOISE])
-NOISELESS = f"{ARTICLES}, noiseless AS (SELECT *, list_filter(string_split(body, chr(10)), lambda x: NOT ({NOISE})) AS l1 FROM articles)"
+NOISELESS = f"{ARTICLES}, noiseless AS (SELECT *, list_filter(string_split(trim(body, ' ' || chr(10)), chr(10)), lambda x: NOT ({NOISE})) AS l1 FROM articles)"
 CUT_TAIL = f"""{NOISELESS}, tailcut AS (
   SELECT *, list_filter(range(1, len(l1) + 1), lambda i: i - 1 >= greatest(len(l1) * 2 // 3, len(l1) - 25) AND regexp_matches(l1[i], '{rules.TAIL_CUT}')) AS marks FROM noiseless),
 l2 AS (SELECT *, CASE WHEN len(marks) > 0 THEN l1[:marks[1] - 1] ELSE l1 END AS l2 FROM tailcut)"""
@@ -194,17 +216,17 @@ FINAL = f"""{STRIPPED}, final AS (SELECT *, trim(regexp_replace(array_to_string(
 
 @query(f"WITH {NOISELESS} SELECT doc_id, len(l1)::BIGINT AS n, md5(array_to_string(l1, chr(10))) AS kept FROM noiseless")
 def line_noise_filter(spark, sf_dir):
-    return articles(spark, sf_dir).select("doc_id", clean.drop_noise(t.splitlines(F.col("body"))).alias("k")).select("doc_id", F.size("k").cast("long").alias("n"), F.md5(F.array_join("k", "\n").cast("binary")).alias("kept"))
+    return articles(spark, sf_dir).select("doc_id", clean.drop_noise(t.splitlines(t.strip(F.col("body")))).alias("k")).select("doc_id", F.size("k").cast("long").alias("n"), F.md5(F.array_join("k", "\n").cast("binary")).alias("kept"))
 
 
 @query(f"WITH {CUT_TAIL} SELECT doc_id, len(l2)::BIGINT AS n FROM l2")
 def tail_block_cut(spark, sf_dir):
-    return articles(spark, sf_dir).select("doc_id", F.size(clean.cut_tail_block(clean.drop_noise(t.splitlines(F.col("body"))))).cast("long").alias("n"))
+    return articles(spark, sf_dir).select("doc_id", F.size(clean.cut_tail_block(clean.drop_noise(t.splitlines(t.strip(F.col("body")))))).cast("long").alias("n"))
 
 
 @query(f"WITH {STRIPPED} SELECT doc_id, len(l3)::BIGINT AS n FROM l3")
 def tail_strip(spark, sf_dir):
-    return articles(spark, sf_dir).select("doc_id", F.size(clean.strip_tail(clean.cut_tail_block(clean.drop_noise(t.splitlines(F.col("body")))))).cast("long").alias("n"))
+    return articles(spark, sf_dir).select("doc_id", F.size(clean.strip_tail(clean.cut_tail_block(clean.drop_noise(t.splitlines(t.strip(F.col("body"))))))).cast("long").alias("n"))
 
 
 @query(f"WITH {FINAL} SELECT doc_id, md5(f) AS cleaned FROM final")
@@ -212,19 +234,46 @@ def clean_final_full(spark, sf_dir):
     return articles(spark, sf_dir).select("doc_id", F.md5(clean.clean_final(F.col("body")).cast("binary")).alias("cleaned"))
 
 
-@query(f"WITH {FINAL} SELECT CASE WHEN doc_id % 5 = 0 THEN 'untagged' WHEN {COUNT.format('f')} < 800 THEN 'dropped' WHEN f = trim(body, ' ' || chr(10)) THEN 'untouched' ELSE 'cleaned' END AS status, count(*) AS n FROM final GROUP BY ALL")
+RECORDS = f"""{FINAL}, records AS (SELECT *, CASE WHEN doc_id % 5 = 0 THEN body ELSE '前言<article>' || chr(10) || body || chr(10) || '</article>后记 <article>二</article>' END AS output FROM final),
+cleaned AS (
+  SELECT *, CASE WHEN NOT contains(output, '<article>') THEN 'untagged' WHEN {COUNT.format('f')} < 800 THEN 'dropped' WHEN f = trim(body, ' ' || chr(10)) THEN 'untouched' ELSE 'cleaned' END AS status FROM records)"""
+
+
+def _final(spark, sf_dir):
+    tagged = F.concat(F.lit("前言<article>\n"), "body", F.lit("\n</article>后记 <article>二</article>"))
+    return articles(spark, sf_dir).select("doc_id", clean.final_record(F.when(F.col("doc_id") % 5 == 0, F.col("body")).otherwise(tagged)).alias("r"))
+
+
+@query(f"WITH {RECORDS} SELECT status, count(*) AS n FROM cleaned GROUP BY ALL")
 def clean_final_stats(spark, sf_dir):
-    out = F.when(F.col("doc_id") % 5 == 0, F.col("body")).otherwise(F.concat(F.lit("<article>"), "body", F.lit("</article>")))
-    return articles(spark, sf_dir).select(clean.final_record(out).alias("r")).groupBy(F.col("r.status").alias("status")).agg(F.count("*").alias("n"))
+    return _final(spark, sf_dir).groupBy(F.col("r.status").alias("status")).agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {RECORDS} SELECT doc_id, status, md5(CASE WHEN status = 'cleaned' THEN '前言<article>' || chr(10) || f || chr(10) || '</article>后记 <article>二</article>' ELSE output END) AS output FROM cleaned WHERE status <> 'dropped'""")
+def clean_final_records(spark, sf_dir):
+    return _final(spark, sf_dir).where("r.status <> 'dropped'").select("doc_id", "r.status", F.md5(F.col("r.output").cast("binary")).alias("output"))
 
 
 def records(spark, sf_dir):
     i = F.col("doc_id")
-    output = F.when(i % 6 == 0, F.concat(F.lit("<article>"), "han", F.lit("</article>"))).when(i % 6 == 1, t.build_output(F.lit("没有"), F.col("han"))).otherwise(t.build_output(F.lit("核心矛盾 我会"), F.col("han")))
-    return articles(spark, sf_dir).select("doc_id", F.when(i % 9 != 0, F.lit("写文章")).alias("instruction"), t.build_input(F.lit("题"), F.lit("众"), F.lit("求")).alias("input"), output.alias("output"), "han")
+    output = (
+        F.when(i % 6 == 0, F.concat(F.lit("<article>"), "han", F.lit("</article>"))).when(i % 6 == 1, t.build_output(F.lit("没有"), F.col("han")))
+        .when(i % 6 == 2, F.concat(F.lit("核心矛盾</article><article><thinking></thinking>"), "han")).otherwise(t.build_output(F.lit("核心矛盾 我会"), F.col("body")))
+    )
+    return articles(spark, sf_dir).select("doc_id", F.when(i % 9 != 0, F.lit("写文章")).alias("instruction"), t.build_input(F.col("lang"), F.lit("众"), F.lit("求")).alias("input"), output.alias("output"), "han")
 
 
-REASONS = f"""{ARTICLES}, reasons AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'no instruction or input' WHEN doc_id % 6 = 0 THEN 'no <thinking>' WHEN doc_id % 6 = 1 THEN 'no 核心矛盾' WHEN {COUNT.format('han')} < 800 THEN 'too short' END AS reason FROM articles)"""
+REASONS = f"""{ARTICLES}, records AS (
+  SELECT doc_id, CASE WHEN doc_id % 9 <> 0 THEN '写文章' END AS instruction, '主题：' || lang || chr(10) || '受众：众' || chr(10) || '要求：求' AS input,
+    CASE doc_id % 6 WHEN 0 THEN '<article>' || han || '</article>'
+      WHEN 1 THEN '<thinking>' || chr(10) || '没有' || chr(10) || '</thinking>' || chr(10) || chr(10) || '<article>' || chr(10) || han || chr(10) || '</article>'
+      WHEN 2 THEN '核心矛盾</article><article><thinking></thinking>' || han
+      ELSE '<thinking>' || chr(10) || '核心矛盾 我会' || chr(10) || '</thinking>' || chr(10) || chr(10) || '<article>' || chr(10) || body || chr(10) || '</article>' END AS output FROM articles),
+bodies AS (SELECT *, string_split(output, '</thinking>')[1] AS thought, regexp_matches(output, '(?s)<article>(.*?)</article>') AS tagged, regexp_extract(output, '(?s)<article>(.*?)</article>', 1) AS article FROM records),
+reasons AS (
+  SELECT doc_id, CASE WHEN coalesce(instruction, '') = '' OR coalesce(input, '') = '' THEN 'no instruction or input'
+    {" ".join(f"WHEN NOT contains(output, '{tag}') THEN 'no {tag}'" for tag in clean.TAGS)}
+    WHEN NOT contains(thought, '核心矛盾') THEN 'no 核心矛盾' WHEN NOT tagged THEN 'tags out of order' WHEN {COUNT.format('article')} < 800 THEN 'too short' END AS reason FROM bodies)"""
 
 
 @query(f"WITH {REASONS} SELECT reason, count(*) AS n FROM reasons WHERE reason IS NOT NULL GROUP BY ALL")
@@ -245,45 +294,76 @@ def validate_forward(spark, sf_dir):
     return articles(spark, sf_dir).select("doc_id", F.array_join(clean.warnings_forward(thinking, F.col("han")), "|").alias("warnings"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'no 要求：|no 核心矛盾|review tone 本文' ELSE '' END AS warnings FROM documents")
+REVERSE = f"""{ARTICLES}, asked AS (
+  SELECT doc_id, '主题：' || lang || '受众：' || CASE WHEN doc_id % 3 = 0 THEN '' ELSE '要求：' END AS input, CASE WHEN doc_id % 2 = 0 THEN '本文' ELSE '核心矛盾' END || han AS thinking FROM articles)"""
+AMISS = (
+    [f"CASE WHEN NOT contains(input, '{f}') THEN 'no {f}' END" for f in rules.INPUT_FIELDS] + ["CASE WHEN NOT contains(thinking, '核心矛盾') THEN 'no 核心矛盾' END"]
+    + [f"CASE WHEN contains(thinking, '{k}') THEN 'review tone {k}' END" for k in rules.REVIEW_TONE]
+)
+
+
+def _reverse(spark, sf_dir, least=None):
+    i = F.col("doc_id")
+    asked = F.concat(F.lit("主题："), "lang", F.lit("受众："), F.when(i % 3 == 0, "").otherwise("要求："))
+    thinking = F.concat(F.when(i % 2 == 0, "本文").otherwise("核心矛盾"), "han")
+    return articles(spark, sf_dir).select("doc_id", F.array_join(clean.warnings_reverse(asked, thinking, least), "|").alias("warnings"))
+
+
+@query(f"WITH {REVERSE} SELECT doc_id, array_to_string(list_filter([{', '.join(AMISS)}], lambda x: x IS NOT NULL), '|') AS warnings FROM asked")
 def validate_reverse(spark, sf_dir):
-    even = F.col("doc_id") % 2 == 0
-    asked = F.when(even, "主题：受众：").otherwise("主题：受众：要求：")
-    return articles(spark, sf_dir).select("doc_id", F.array_join(clean.warnings_reverse(asked, F.when(even, "本文").otherwise("核心矛盾")), "|").alias("warnings"))
+    return _reverse(spark, sf_dir)
+
 
+@query(f"WITH {REVERSE} SELECT doc_id, array_to_string(list_filter([{', '.join(AMISS)}, CASE WHEN {COUNT.format('thinking')} < 200 THEN 'short thinking' END], lambda x: x IS NOT NULL), '|') AS warnings FROM asked")
+def validate_reverse_single(spark, sf_dir):
+    return _reverse(spark, sf_dir, 200)
 
-SCAN_SQL = f"""{ARTICLES}, tails AS (SELECT doc_id, body, array_to_string(string_split(body, chr(10))[-15:], chr(10)) AS tail FROM articles),
-hits AS (SELECT doc_id, unnest(list_filter([{", ".join(f"CASE WHEN regexp_matches({'tail' if last else 'body'}, '{re2(p)}') THEN '{k}' END" for k, (p, last) in rules.SCAN.items())}], lambda x: x IS NOT NULL)) AS rule FROM tails)"""
+
+def _scan_sql():
+    scoped = f"""{RECORDS}, scoped AS (SELECT doc_id, CASE WHEN regexp_matches(output, '(?s)<article>(.*?)</article>') THEN regexp_extract(output, '(?s)<article>(.*?)</article>', 1) ELSE output END AS article FROM records),
+tails AS (SELECT *, array_to_string(string_split(trim(article, ' ' || chr(10)), chr(10))[-15:], chr(10)) AS tail FROM scoped)"""
+    hits = []
+    for k, (p, last) in rules.SCAN.items():
+        text = "tail" if last else "article"
+        whole = f"regexp_extract({text}, '(?s)^.*?((?-s:{re2(p)}))', 0)"
+        begin = f"length({whole}) - length(regexp_extract({text}, '{re2(p)}', 0))"
+        cut = f"replace(substr({text}, greatest(0, {begin} - 30) + 1, length({whole}) - greatest(0, {begin} - 30) + 50), chr(10), ' | ')"
+        hits.append(f"SELECT doc_id, '{k}' AS rule, {cut} AS excerpt FROM tails WHERE regexp_matches({text}, '{re2(p)}')")
+    return f"{scoped}, hits AS ({' UNION ALL '.join(hits)})"
+
+
+SCAN_SQL = _scan_sql()
 
 
 def _scan(spark, sf_dir):
-    lines = t.splitlines(F.col("body"))
-    tail = F.array_join(F.slice(lines, F.greatest(F.lit(1), F.size(lines) - 14), F.lit(15)), "\n")
-    d = articles(spark, sf_dir).select("doc_id", "body", tail.alias("tail"))
-    def hit(c, p):  # the address pattern is slow on long runs of letters; without an @ it can't match
-        return (F.contains(c, F.lit("@")) if "@" in p else F.lit(True)) & c.rlike("(?d)(?U)" + p)
+    tagged = F.concat(F.lit("前言<article>\n"), "body", F.lit("\n</article>后记 <article>二</article>"))
+    output = F.when(F.col("doc_id") % 5 == 0, F.col("body")).otherwise(tagged)
+    return scan.scan(articles(spark, sf_dir).select("doc_id", output.alias("output")), key="doc_id")
+
 
-    found = F.array(*[F.when(hit(F.col("tail" if last else "body"), p), F.lit(k)) for k, (p, last) in rules.SCAN.items()])
-    return d.select("doc_id", F.filter(found, lambda x: x.isNotNull()).alias("rules"))
+@query(f"WITH {SCAN_SQL} SELECT doc_id, rule, excerpt FROM hits")
+def scan_boilerplate(spark, sf_dir):
+    return _scan(spark, sf_dir)
 
 
-@query(f"WITH {SCAN_SQL} SELECT rule, count(*) AS docs, min(doc_id) AS example FROM hits GROUP BY ALL")
+@query(f"WITH {SCAN_SQL} SELECT rule, count(*) AS docs, min_by(excerpt, doc_id) AS example FROM hits GROUP BY ALL")
 def scan_boilerplate_hits(spark, sf_dir):
-    return _scan(spark, sf_dir).select("doc_id", F.explode("rules").alias("rule")).groupBy("rule").agg(F.count("*").alias("docs"), F.min("doc_id").alias("example"))
+    return scan.summary(_scan(spark, sf_dir), "doc_id")
 
 
 @query(f"WITH {SCAN_SQL} SELECT (SELECT count(DISTINCT doc_id) FROM hits) AS polluted, (SELECT count(*) FROM articles) AS total")
 def scan_polluted_share(spark, sf_dir):
-    return _scan(spark, sf_dir).agg(F.count_if(F.size("rules") > 0).alias("polluted"), F.count("*").alias("total"))
+    found = _scan(spark, sf_dir).agg(F.count_distinct("doc_id").alias("polluted"))
+    return found.crossJoin(table(spark, sf_dir, "documents").agg(F.count("*").alias("total")))  # a row each
 
 
-GEN = f"""{ARTICLES}, gen AS (SELECT unnest(['base', 'v1', 'v2']) AS tag, doc_id AS idx, han AS reference, unnest([substr(body, 1, 200), body, han]) AS generated FROM articles)"""
+GEN = f"""{ARTICLES}, gen AS (SELECT unnest(['base', 'v1', 'v2']) AS tag, doc_id AS idx, han AS reference, unnest(['作者：某某' || chr(10) || han, body, han]) AS generated, 'https' || lang || chr(10) || lang AS input FROM articles)"""
 HITS = " + ".join(f"regexp_matches(generated, '{p}')::INT" for p in rules.EVAL)
 
 
 def generations(spark, sf_dir):
-    each = F.array(*[F.struct(F.lit(n).alias("tag"), c.alias("generated")) for n, c in (("base", F.substring("body", 1, 200)), ("v1", F.col("body")), ("v2", F.col("han")))])
-    return articles(spark, sf_dir).select(F.col("doc_id").alias("idx"), F.col("han").alias("reference"), F.explode(each).alias("g")).select("g.tag", "idx", "reference", "g.generated")
+    each = F.array(*[F.struct(F.lit(n).alias("tag"), c.alias("generated")) for n, c in (("base", F.concat(F.lit("作者：某某\n"), "han")), ("v1", F.col("body")), ("v2", F.col("han")))])
+    return articles(spark, sf_dir).select(F.col("doc_id").alias("idx"), F.concat(F.lit("https"), "lang", F.lit("\n"), "lang").alias("input"), F.col("han").alias("reference"), F.explode(each).alias("g")).select("g.tag", "idx", "input", "reference", "g.generated")
 
 
 @query(f"WITH {GEN} SELECT tag, sum({HITS})::BIGINT AS hits, count(*) AS n FROM gen GROUP BY tag")
@@ -291,10 +371,114 @@ def boilerplate_hits_by_tag(spark, sf_dir):
     return generations(spark, sf_dir).groupBy("tag").agg(F.sum(rules.eval_hits(F.col("generated"))).alias("hits"), F.count("*").alias("n"))
 
 
-@query(f"WITH {GEN} SELECT avg({HITS}) FILTER (tag = 'base') AS base_hits, avg({HITS}) FILTER (tag = 'v1') AS v1_hits, avg({COUNT.format('generated')}) FILTER (tag = 'base') AS base_len, avg({COUNT.format('generated')}) FILTER (tag = 'v2') AS v2_len FROM gen")
+TAGS = ("base", "v1", "v2", "v3")  # no generation has the last
+
+
+@query(f"WITH {GEN} SELECT " + ", ".join(f"avg({HITS}) FILTER (tag = '{x}') AS {x}_hits, avg({COUNT.format('generated')}) FILTER (tag = '{x}') AS {x}_len" for x in TAGS) + " FROM gen")
 def eval_matrix(spark, sf_dir):
     g = generations(spark, sf_dir).withColumns({"h": rules.eval_hits(F.col("generated")), "l": t.count_of(F.col("generated"))})
-    return g.groupBy().pivot("tag", ["base", "v1", "v2"]).agg(F.avg("h").alias("hits"), F.avg("l").alias("len")).select("base_hits", "v1_hits", "base_len", "v2_len")
+    return g.groupBy().pivot("tag", list(TAGS)).agg(F.avg("h").alias("hits"), F.avg("l").alias("len"))
+
+
+@query()
+def eval_matrix_rouge(spark, sf_dir):
+    """All cells: mean ROUGE-L, hits and length of each tag; a tag without generations has nulls."""
+    g = generations(spark, sf_dir).withColumns({"r": rouge_l_udf("generated", "reference"), "h": rules.eval_hits(F.col("generated")), "l": t.count_of(F.col("generated"))})
+    return g.groupBy().pivot("tag", list(TAGS)).agg(F.round(F.avg("r"), 6).alias("rouge_l"), F.avg("h").alias("hits"), F.avg("l").alias("len"))
+
+
+@query(f"""WITH {GEN}, part AS (SELECT * FROM gen WHERE tag <> 'v2' OR idx % 3 = 0),
+numbered AS (SELECT tag, idx, row_number() OVER (PARTITION BY tag ORDER BY idx) - 1 AS place FROM part)
+SELECT b.place, b.idx AS base, v.idx AS v1, w.idx AS v2 FROM numbered b JOIN numbered v USING (place) JOIN numbered w USING (place) WHERE b.tag = 'base' AND v.tag = 'v1' AND w.tag = 'v2'""")
+def tags_by_position(spark, sf_dir):
+    """The i-th generation of every tag side by side, as far as the shortest tag goes."""
+    g = generations(spark, sf_dir).select("tag", "idx").where("tag <> 'v2' or idx % 3 = 0")
+    return metrics.by_position(g, "tag", ["base", "v1", "v2"], "idx")
+
+
+MARK = "('0x' || substr(md5(question), {}, 1))::INT"
+JUDGE = f"""{GEN}, asked AS (SELECT tag, idx, '文章主题：' || substr(string_split(input, chr(10))[1], 1, 60) || chr(10) || chr(10) || '文章正文：' || chr(10) || substr(generated, 1, 6000) AS question FROM gen),
+marks AS (
+  SELECT tag, idx, {MARK.format(1)} % 5 + 1.0::DOUBLE AS depth, {MARK.format(2)} % 5 + 1.0::DOUBLE AS evidence, {MARK.format(3)} % 5 + 1.5::DOUBLE AS style,
+    CASE WHEN {MARK.format(5)} = 1 THEN 0.0::DOUBLE ELSE {MARK.format(4)} % 5 + 1.0::DOUBLE END AS clean, {MARK.format(5)} = 0 AS failed FROM asked)"""
+
+
+@query(f"WITH {JUDGE} SELECT tag, idx, CASE WHEN NOT failed THEN depth END AS depth, CASE WHEN NOT failed THEN evidence END AS evidence, CASE WHEN NOT failed THEN style END AS style, CASE WHEN NOT failed THEN clean END AS clean FROM marks")
+def llm_judge(spark, sf_dir):
+    return chat.judge(generations(spark, sf_dir))
+
+
+@query(f"""WITH {JUDGE}, each AS (SELECT tag, unnest(['depth', 'evidence', 'style', 'clean', 'all', 'all', 'all', 'all']) AS dim, unnest([depth, evidence, style, clean, depth, evidence, style, clean]) AS mark FROM marks WHERE NOT failed)
+SELECT tag, dim, round(avg(mark), 6) AS mean, count(*) AS n FROM each GROUP BY ALL""")
+def judge_means_by_tag(spark, sf_dir):
+    return chat.judged(chat.judge(generations(spark, sf_dir)))
+
+
+DIGIT = "('0x' || substr(md5('请评估以下文章：' || chr(10) || chr(10) || substr(body, 1, 3000)), {}, 1))::INT"
+
+
+@query(f"""WITH {ARTICLES}, s AS (SELECT *, {DIGIT.format(5)} > 0 AS ok FROM articles)
+SELECT name AS file, ({COUNT.format('body')})::INT AS chars, CASE WHEN ok THEN {DIGIT.format(1)} % 5 + 1 END AS depth, CASE WHEN ok THEN {DIGIT.format(2)} % 5 + 1 END AS evidence,
+  CASE WHEN ok THEN ({list(scoring.GENRES)})[{DIGIT.format(3)} % 5 + 1] END AS genre, CASE WHEN ok THEN ({list(scoring.TOPICS)})[{DIGIT.format(4)} % 6 + 1] END AS topic,
+  CASE WHEN NOT ok THEN 'unusable reply' END AS error FROM s""")
+def llm_score(spark, sf_dir):
+    return chat.score(articles(spark, sf_dir).select("name", F.col("body").alias("text")))
+
+
+def _written(question: str) -> str:
+    return f"""d AS (SELECT *, {", ".join(f"('0x' || substr(md5({question}), {k}, 1))::INT AS d{k}" for k in (1, 2, 3, 4))} FROM q)"""
+
+
+@query(f"""WITH {ARTICLES}, q AS (SELECT name, trim(body, ' ' || chr(10)) AS article FROM articles), {_written("'请反推以下文章的写作任务和构思：' || chr(10) || chr(10) || article")}
+SELECT name, CASE WHEN d1 > 0 THEN md5('<thinking>' || chr(10) || '核心矛盾 ' || d2 || chr(10) || '</thinking>' || chr(10) || chr(10) || '<article>' || chr(10) || article || chr(10) || '</article>') END AS output,
+  CASE WHEN d1 > 0 THEN '主题：' || d3 || chr(10) || '受众：众' || chr(10) || '要求：求' END AS input, CASE WHEN d1 > 0 THEN 'done' ELSE 'failed' END AS status, CASE WHEN d1 > 0 THEN 0 END AS warnings,
+  CASE WHEN length(article) > 8000 THEN 'kimi' WHEN (list_sum([('0x' || substr(md5(name), k, 1))::INT * CASE WHEN k = 32 THEN 1 ELSE 6 END FOR k IN range(1, 33)]) % 10) < 7 THEN 'qwen' ELSE 'kimi' END AS teacher FROM d""")
+def llm_reverse(spark, sf_dir):
+    r = chat.reverse(articles(spark, sf_dir).select("name", F.col("body").alias("text")))
+    return r.select("name", F.md5(F.col("output").cast("binary")).alias("output"), "input", "status", F.when(F.col("warnings").isNotNull(), F.size("warnings")).alias("warnings"), "teacher")
+
+
+@query(f"""WITH q AS (SELECT DISTINCT source || ' ' || lang AS topic FROM documents), {_written("'主题：' || topic || chr(10) || '受众：众' || chr(10) || '要求：求'")}
+SELECT topic, CASE WHEN d1 > 0 THEN '<thinking>' || chr(10) || '核心矛盾 ' || d2 || chr(10) || '</thinking>' || chr(10) || chr(10) || '<article>' || chr(10) || '# 题 ' || d4 || chr(10) || '文' || chr(10) || '</article>' END AS output,
+  CASE WHEN d1 > 0 THEN 'short' END AS warnings, CASE WHEN d1 > 0 THEN 'done' ELSE 'failed' END AS status FROM d""")
+def llm_forward(spark, sf_dir):
+    topics = table(spark, sf_dir, "documents").select(F.concat_ws(" ", "source", "lang").alias("topic")).distinct()
+    return chat.forward(topics, audience="众", requirements="求").select("topic", "output", F.array_join("warnings", "|").alias("warnings"), "status")
+
+
+CHAT = f"""{ARTICLES}, chats AS (
+  SELECT doc_id, '<|im_start|>system' || chr(10) || '写文章' || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) || lang || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) || han || '<|im_end|>' || chr(10) AS chat FROM articles)"""
+
+
+@query(f"WITH {CHAT} SELECT doc_id, md5(chat) AS chat, floor(({COUNT.format('chat')}) * 1.6::DOUBLE)::BIGINT AS tokens FROM chats")
+def chat_length(spark, sf_dir):
+    c = chat.chat_text(F.lit("写文章"), F.col("lang"), F.col("han"))
+    return articles(spark, sf_dir).select("doc_id", c.alias("c")).select("doc_id", F.md5(F.col("c").cast("binary")).alias("chat"), chat.token_length(F.col("c")).alias("tokens"))
+
+
+@query(f"WITH {ARTICLES} SELECT name FROM articles WHERE NOT starts_with(name, '早报')")
+def title_prefix(spark, sf_dir):
+    return clean.without_prefix(articles(spark, sf_dir)).select("name")
+
+
+@query(f"WITH {ARTICLES} SELECT name FROM articles WHERE doc_id % 4 <> 0 ORDER BY name LIMIT 25")
+def limit_n(spark, sf_dir):
+    d = articles(spark, sf_dir)
+    todo = scoring.todo(d.select("name"), d.where("doc_id % 4 = 0").select(F.col("name").alias("file")))
+    return scoring.limit_n(todo, 25)
+
+
+@query(f"WITH {RECORDS} SELECT doc_id, md5(trim(CASE WHEN contains(output, '<article>') THEN regexp_extract(output, '(?s)<article>(.*?)</article>', 1) ELSE output END, ' ' || chr(10))) AS article FROM records")
+def extract_article(spark, sf_dir):
+    tagged = F.concat(F.lit("前言<article>\n"), "body", F.lit("\n</article>后记 <article>二</article>"))
+    output = F.when(F.col("doc_id") % 5 == 0, F.col("body")).otherwise(tagged)
+    return articles(spark, sf_dir).select("doc_id", F.md5(t.article_or_all(output).cast("binary")).alias("article"))
+
+
+@query("""SELECT source, lang FROM (SELECT DISTINCT source, lang FROM documents) EXCEPT SELECT DISTINCT source, lang FROM documents WHERE doc_id % 7 <> 0""")
+def set_difference(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return dedup.difference(d.select("source", "lang"), d.where("doc_id % 7 <> 0").select("source", "lang"))
 
 
 @query()
@@ -317,25 +501,37 @@ def _keyed(spark, sf_dir):
 
 @query(f"WITH {KEYED} SELECT doc_id, row_number() OVER (PARTITION BY title ORDER BY n DESC, name) = 1 AS kept FROM keyed")
 def dedup_title(spark, sf_dir):
-    return dedup.keep_first(_keyed(spark, sf_dir), ["title"], [F.desc("n"), "name"]).select("doc_id", "kept")
+    return dedup.keep_first(_keyed(spark, sf_dir), ["title"], [-F.col("n"), F.col("name")], "doc_id").select("doc_id", "kept")
 
 
 @query(f"WITH {KEYED}, f AS (SELECT doc_id, doc_id % 3 AS priority, md5(substr(regexp_replace(han, '[^\\x{{4e00}}-\\x{{9fff}}]', '', 'g'), 1, 500)) AS fp FROM keyed) SELECT doc_id FROM f QUALIFY row_number() OVER (PARTITION BY fp ORDER BY priority, doc_id) = 1")
 def dedup_fingerprint(spark, sf_dir):
     f = _keyed(spark, sf_dir).select("doc_id", (F.col("doc_id") % 3).alias("priority"), t.fingerprint(F.col("han")).alias("fp"))
-    return dedup.keep_first(f, ["fp"], ["priority", "doc_id"]).where("kept").select("doc_id")
+    return dedup.keep_first(f, ["fp"], [F.col("priority")], "doc_id").where("kept").select("doc_id")
+
+
+@query(f"""WITH {KEYED}, byte AS (SELECT doc_id, md5(han) AS h FROM keyed),
+a AS (SELECT doc_id FROM keyed QUALIFY row_number() OVER (PARTITION BY title ORDER BY n DESC, name, doc_id) > 1), b AS (SELECT doc_id FROM byte QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id) > 1)
+SELECT doc_id FROM a UNION SELECT doc_id FROM b""")
+def set_union_dups(spark, sf_dir):
+    """Duplicates by title or by content, each once."""
+    d = _keyed(spark, sf_dir)
+    by_title = dedup.keep_first(d, ["title"], [-F.col("n"), F.col("name")], "doc_id").where("not kept").select("doc_id")
+    content = d.select("doc_id", F.md5(F.col("han").cast("binary")).alias("h"))
+    return dedup.union_dups(by_title, dedup.keep_first(content, ["h"], [], "doc_id").where("not kept").select("doc_id"))
 
 
 def _signed(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    return d.select(F.col("doc_id").alias("name"), t.count_of(F.col("text"), t.LETTER).alias("n"), dedup.signature(F.col("text"), t.LETTER).alias("sig"))
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dedup.signed(d, F.col("doc_id"), t.count_of(F.col("text"), t.LETTER), F.col("text"), t.LETTER)
 
 
 @query("""WITH l AS (SELECT doc_id, regexp_replace(text, '[^\\p{L}]', '', 'g') AS x FROM documents),
 g AS (SELECT doc_id, CASE WHEN len(x) < 5 THEN [x] ELSE list_distinct(list_transform(range(1, len(x) - 3), lambda i: substr(x, i, 5))) END AS grams FROM l)
 SELECT doc_id, md5(array_to_string(list_sort(list_distinct(list_transform(grams, lambda s: substr(md5(s), 1, 16))))[:128], ',')) AS signature FROM g""")
 def minhash_signature(spark, sf_dir):
-    return _signed(spark, sf_dir).select(F.col("name").alias("doc_id"), F.md5(F.array_join("sig", ",").cast("binary")).alias("signature"))
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", F.md5(F.array_join(dedup.signature(F.col("text"), t.LETTER), ",").cast("binary")).alias("signature"))
 
 
 @query()
@@ -349,7 +545,7 @@ def near_dup_greedy(spark, sf_dir):
     d = _signed(spark, sf_dir)
     reps = dedup.classes(d)
     kept = dedup.greedy(reps, dedup.edges(reps))
-    return d.select(F.col("name").alias("doc_id"), "sig").join(reps.select("sig", F.col("name").alias("first")), "sig").join(kept.withColumnRenamed("name", "first"), "first").select("doc_id", "first", ((F.col("doc_id") == F.col("first")) & F.col("kept")).alias("kept"))
+    return d.select(F.col("name").alias("doc_id"), "digest").join(reps.select("digest", F.col("name").alias("first")), "digest").join(kept.withColumnRenamed("name", "first"), "first").select("doc_id", "first", ((F.col("doc_id") == F.col("first")) & F.col("kept")).alias("kept"))
 
 
 CORE = "depth >= 4 AND genre IN ('深度评论', '访谈')"
@@ -380,7 +576,7 @@ def resume_todo_scores(spark, sf_dir):
 @query("""WITH l AS (SELECT user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
 SELECT user_id, event_type FROM l WHERE event_type <> 'purchase'""")
 def resume_todo_manifest(spark, sf_dir):
-    e = scoring.latest(table(spark, sf_dir, "events"), "user_id", [F.desc("ts"), F.desc("event_id")])
+    e = scoring.latest(table(spark, sf_dir, "events"), "user_id", [F.col("ts"), F.col("event_id")])
     done = e.where("event_type = 'purchase'").select("user_id")
     return e.join(done, "user_id", "left_anti").select("user_id", "event_type")
 
@@ -468,13 +664,13 @@ def upper_median_by_lang(spark, sf_dir):
 def _ab(spark, sf_dir):
     providers = F.explode(F.array(*map(F.lit, ("gemini", "qwen", "kimi", "deepseek"))))
     d = articles(spark, sf_dir).select("doc_id", "han", providers.alias("provider"))
-    thought = F.concat(F.when(F.col("provider") == "kimi", "本文").otherwise("核心矛盾 语气定位 打算"), F.substring("han", 1, 400))
+    thought = F.concat(F.when(F.col("provider") == "kimi", "本文").otherwise("核心矛盾 语气定位 打算"), F.lit(" "), "han")
     raw = F.concat(F.lit("<input>主题：题\n受众：众"), F.when(F.col("provider") != "qwen", "\n要求：求").otherwise(""), F.lit("</input><thinking>"), thought, F.lit("</thinking>"))
     return d.select("provider", "doc_id", clean.ab_score(raw).alias("score"))
 
 
 AB = f"""{ARTICLES}, ab AS (
-  SELECT provider, doc_id, ({COUNT.format("(CASE WHEN provider = 'kimi' THEN '本文' ELSE '核心矛盾 语气定位 打算' END || substr(han, 1, 400))")}) AS n
+  SELECT provider, doc_id, ({COUNT.format("(CASE WHEN provider = 'kimi' THEN '本文' ELSE '核心矛盾 语气定位 打算' END || ' ' || han)")}) AS n
   FROM articles, (SELECT unnest(['gemini', 'qwen', 'kimi', 'deepseek']) AS provider)),
 points AS (SELECT provider, doc_id, (100 + CASE WHEN provider = 'qwen' THEN 133 ELSE 200 END + CASE WHEN provider = 'kimi' THEN 0 ELSE 120 + 300 END
   + CASE WHEN n BETWEEN 300 AND 500 THEN 100 WHEN n BETWEEN 250 AND 600 THEN 50 ELSE 0 END)::BIGINT AS score FROM ab)"""
@@ -485,9 +681,11 @@ def ab_rubric(spark, sf_dir):
     return _ab(spark, sf_dir)
 
 
-@query(f"WITH {AB} SELECT provider, round(avg(CASE WHEN doc_id % 7 = 0 THEN 0 ELSE score END), 6) AS mean, count(*) AS n FROM points GROUP BY provider")
+@query(f"WITH {AB} SELECT provider, round(avg(CASE WHEN doc_id % 7 = 0 THEN 0 ELSE score END), 6) AS mean, round(avg(doc_id % 50 / 10.0::DOUBLE), 6) AS elapsed, count(*) AS n FROM points GROUP BY provider")
 def ab_rank(spark, sf_dir):
-    return _ab(spark, sf_dir).groupBy("provider").agg(F.round(F.avg(F.coalesce(F.when(F.col("doc_id") % 7 != 0, F.col("score")), F.lit(0))), 6).alias("mean"), F.count("*").alias("n"))
+    """Failures, each seventh here, count as no points but with their time."""
+    scored = _ab(spark, sf_dir).withColumn("score", F.when(F.col("doc_id") % 7 != 0, F.col("score"))).withColumn("elapsed", F.col("doc_id") % 50 / F.lit(10.0))
+    return metrics.ab_rank(scored)
 
 
 @query(f"WITH {SCORES} SELECT dim, round(avg(v), 6) AS mean FROM (SELECT 'depth' AS dim, depth AS v FROM scored UNION ALL SELECT 'evidence', evidence FROM scored UNION ALL SELECT 'all', unnest([depth, evidence]) FROM scored) GROUP BY dim")
@@ -505,8 +703,6 @@ def stub_llm_score(spark, sf_dir):
 def incremental_scores(spark, sf_dir):
     from corpusloom.streaming import incremental
 
-    root = (spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="corpusloom-")).rstrip("/") + "/stream"
-    stamp = F.md5(F.concat(F.lit(sf_dir), F.current_timestamp().cast("string")).cast("binary"))
-    root += "-" + spark.range(1).select(stamp).first()[0]
+    root = f"{shared_dir(spark)}/corpusloom-stream-{uuid.uuid4().hex}"
     articles(spark, sf_dir).select("name", t.count_of(F.col("han")).alias("n")).write.parquet(f"{root}/in")
     return incremental.run(spark, f"{root}/in", "name string, n int", scoring.stub_scores, f"{root}/out", f"{root}/state").select("file", "depth", "evidence")

@@ -67,3 +67,9 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete what cut() wrote, once nothing reads it."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt out over the cores if it is read in fewer parts than there are cores; a table of many parts stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
