@@ -11,6 +11,11 @@ SPACE = r"[\s\x1c-\x1f]"
 SEPARATORS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 
 
+def let(value: Column, f) -> Column:
+    """f of a value that is worked out once, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"(?U)^{SPACE}+|{SPACE}+\z", "")
 
@@ -21,8 +26,7 @@ def rstrip(c: Column) -> Column:
 
 def splitlines(c: Column) -> Column:
     """Lines without their separators; no empty line after the last separator, no line of an empty text."""
-    parts = F.split(c, SEPARATORS, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    return let(F.split(c, SEPARATORS, -1), lambda parts: F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts))
 
 
 def only(c: Column, charset: str = HAN) -> Column:
@@ -44,11 +48,11 @@ def safe_topic(topic: Column, n: int = 30) -> Column:
 def tag(c: Column, name: str) -> Column:
     """The first <name>…</name>, stripped; null without one."""
     pattern = f"(?s)<{name}>(.*?)</{name}>"
-    return F.when(c.rlike(pattern), strip(F.regexp_extract(c, pattern, 1)))
+    return let(c, lambda x: F.when(x.rlike(pattern), strip(F.regexp_extract(x, pattern, 1))))
 
 
 def article_or_all(c: Column) -> Column:
-    return F.coalesce(tag(c, "article"), strip(c))
+    return let(c, lambda x: F.coalesce(tag(x, "article"), strip(x)))
 
 
 def reply_scores(reply: Column, required=("depth", "evidence", "genre", "topic")) -> Column:

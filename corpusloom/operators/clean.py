@@ -7,22 +7,22 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import HAN, count_of, rstrip, splitlines, strip, tag
+from corpusloom.functions.text import HAN, count_of, let, rstrip, splitlines, strip, tag
 from corpusloom.operators import rules
 
 
-def _let(value: Column, f) -> Column:
-    return F.transform(F.array(value), f)[0]
-
-
 def cut_comments(c: Column) -> Column:
     """Up to the earliest comment marker."""
-    at = F.least(*[F.nullif(F.instr(c, m), F.lit(0)) for m in rules.COMMENT_MARKERS])
-    return F.when(at.isNotNull(), F.substring(c, F.lit(1), at - 1)).otherwise(c)
+
+    def cut(x):
+        first = F.least(*[F.nullif(F.instr(x, m), F.lit(0)) for m in rules.COMMENT_MARKERS])
+        return let(first, lambda at: F.when(at.isNotNull(), F.substring(x, F.lit(1), at - 1)).otherwise(x))
+
+    return let(c, cut)
 
 
 def drop_lines_raw(c: Column) -> Column:
-    return F.filter(splitlines(c), lambda x: ~_let(strip(x), lambda y: F.coalesce(rules.drops_raw(y), F.lit(False))))
+    return F.filter(splitlines(c), lambda x: ~let(strip(x), lambda y: F.coalesce(rules.drops_raw(y), F.lit(False))))
 
 
 def fix_heading(line: Column) -> Column:
@@ -33,7 +33,7 @@ def fix_heading(line: Column) -> Column:
         title = strip(F.regexp_replace(strip(F.regexp_extract(x, pattern, 2)), "^_+|_+$", ""))
         return F.when(x.rlike(pattern) & (title != ""), F.concat(F.lit("## "), title)).otherwise(line)
 
-    return F.when(F.contains(line, F.lit("_")), _let(strip(line), lambda x: F.when(F.startswith(x, F.lit("_")), fixed(x)).otherwise(line))).otherwise(line)
+    return F.when(F.contains(line, F.lit("_")), let(strip(line), lambda x: F.when(F.startswith(x, F.lit("_")), fixed(x)).otherwise(line))).otherwise(line)
 
 
 def squeeze(c: Column) -> Column:
@@ -58,7 +58,7 @@ def cut_tail_block(lines: Column) -> Column:
         marked = F.filter(F.transform(arr, lambda x, i: F.when((i >= zone) & x.rlike("(?d)(?U)" + rules.TAIL_CUT), i)), lambda i: i.isNotNull())
         return F.when(F.size(marked) > 0, F.slice(arr, F.lit(1), F.array_min(marked))).otherwise(arr)
 
-    return _let(lines, cut)
+    return let(lines, cut)
 
 
 def strip_tail(lines: Column) -> Column:
@@ -68,7 +68,7 @@ def strip_tail(lines: Column) -> Column:
         last = F.array_max(F.transform(arr, lambda x, i: F.when(~rules.is_tail_junk(x), i + 1).otherwise(0)))
         return F.slice(arr, F.lit(1), F.coalesce(last, F.lit(0)))
 
-    return _let(lines, cut)
+    return let(lines, cut)
 
 
 def strip_head(lines: Column) -> Column:
@@ -76,7 +76,7 @@ def strip_head(lines: Column) -> Column:
         first = F.array_min(F.filter(F.transform(arr, lambda x, i: F.when(strip(x) != "", i)), lambda i: i.isNotNull()))
         return F.when(first.isNull(), F.slice(arr, F.lit(1), F.lit(0))).otherwise(F.slice(arr, first + 1, F.size(arr)))
 
-    return _let(lines, cut)
+    return let(lines, cut)
 
 
 def clean_final(c: Column) -> Column:
@@ -87,14 +87,16 @@ def clean_final(c: Column) -> Column:
 def final_record(output: Column, least: int = 800, charset: str = HAN) -> Column:
     """struct<status, output>: untagged (kept as it is, not counted), untouched, cleaned or dropped."""
     pattern = r"(?s)<article>\n?(.*?)\n?</article>"
-    body, tagged = F.regexp_extract(output, pattern, 1), output.rlike(pattern)
-    new = clean_final(body)
-    before = F.substring_index(output, "<article>", 1)
-    rest = F.substring(output, F.length(before) + len("<article>") + 1, F.length(output))
-    after = F.substring(rest, F.instr(rest, "</article>") + len("</article>"), F.length(rest))
-    whole = F.concat(before, F.lit("<article>\n"), new, F.lit("\n</article>"), after)
-    status = F.when(~tagged, "untagged").when(count_of(new, charset) < least, "dropped").when(new == strip(body), "untouched").otherwise("cleaned")
-    return F.struct(status.alias("status"), F.when(status == "cleaned", whole).otherwise(output).alias("output"))
+
+    def judged(out, body, new):
+        before = F.substring_index(out, "<article>", 1)
+        rest = F.substring(out, F.length(before) + len("<article>") + 1, F.length(out))
+        after = F.substring(rest, F.instr(rest, "</article>") + len("</article>"), F.length(rest))
+        whole = F.concat(before, F.lit("<article>\n"), new, F.lit("\n</article>"), after)
+        status = F.when(~out.rlike(pattern), "untagged").when(count_of(new, charset) < least, "dropped").when(new == strip(body), "untouched").otherwise("cleaned")
+        return let(status, lambda s: F.struct(s.alias("status"), F.when(s == "cleaned", whole).otherwise(out).alias("output")))
+
+    return let(output, lambda out: let(F.regexp_extract(out, pattern, 1), lambda body: let(clean_final(body), lambda new: judged(out, body, new))))
 
 
 TAGS = ("<thinking>", "</thinking>", "<article>", "</article>")
@@ -102,23 +104,23 @@ TAGS = ("<thinking>", "</thinking>", "<article>", "</article>")
 
 def gate_reason(instruction: Column, input_: Column, output: Column, least: int = 800, charset: str = HAN) -> Column:
     """The first reason to reject a record; null if it passes. Tags in a wrong order have a reason of their own."""
-    out = F.coalesce(output, F.lit(""))
+    return let(F.coalesce(output, F.lit("")), lambda out: _reason(instruction, input_, out, least, charset))
+
+
+def _reason(instruction: Column, input_: Column, out: Column, least: int, charset: str) -> Column:
     empty = (F.coalesce(instruction, F.lit("")) == "") | (F.coalesce(input_, F.lit("")) == "")
     reason = F.when(empty, "no instruction or input")
     for t in TAGS:
         reason = reason.when(~F.contains(out, F.lit(t)), f"no {t}")
-    article = tag(out, "article")
-    return (
-        reason.when(~F.contains(F.substring_index(out, "</thinking>", 1), F.lit("核心矛盾")), "no 核心矛盾")
-        .when(article.isNull(), "tags out of order")
-        .when(count_of(article, charset) < least, "too short")
-    )
+    untold = ~F.contains(F.substring_index(out, "</thinking>", 1), F.lit("核心矛盾"))
+    article = let(tag(out, "article"), lambda x: F.when(x.isNull(), "tags out of order").when(count_of(x, charset) < least, "too short"))
+    return reason.when(untold, "no 核心矛盾").otherwise(article)
 
 
 def warnings_forward(thinking: Column, article: Column, charset: str = HAN) -> Column:
-    n = count_of(article, charset)
+    length = let(count_of(article, charset), lambda n: F.when(n < 1200, F.lit("short")).when(n > 3200, F.lit("long")))
     found = [F.when(F.contains(thinking, F.lit(p)), F.lit(f"meta: {p}")) for p in rules.META_PHRASES]
-    found += [F.when(~F.contains(thinking, F.lit("核心矛盾")), F.lit("no 核心矛盾")), F.when(~F.startswith(article, F.lit("#")), F.lit("no heading")), F.when(n < 1200, F.lit("short")).when(n > 3200, F.lit("long"))]
+    found += [F.when(~F.contains(thinking, F.lit("核心矛盾")), F.lit("no 核心矛盾")), F.when(~F.startswith(article, F.lit("#")), F.lit("no heading")), length]
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
 
@@ -138,13 +140,20 @@ def without_prefix(docs, name: str = "name", prefix: str = rules.TITLE_PREFIX):
 
 def ab_score(raw: Column, charset: str = HAN) -> Column:
     """The ten-point rubric in hundredths: format, five points, tone, length."""
+    return let(raw, lambda x: _points(x, charset))
+
+
+def _points(raw: Column, charset: str) -> Column:
     asked, thought = F.regexp_extract(raw, "(?s)<input>(.*?)</input>", 1), F.regexp_extract(raw, "(?s)<thinking>(.*?)</thinking>", 1)
     both = raw.rlike("(?s)<input>.*?</input>") & raw.rlike("(?s)<thinking>.*?</thinking>")
 
     def held(c, words):
         return reduce(lambda a, b: a + b, [F.contains(c, F.lit(w)).cast("int") for w in words])
 
-    n = count_of(thought, charset)
-    tone = F.when(thought.rlike(rules.PLAN_TONE), 150).otherwise(0) + F.when(held(thought, rules.REVIEW_TONE) == 0, 150).otherwise(0)
-    length = F.when(n.between(300, 500), 100).when(n.between(250, 600), 50).otherwise(0)
-    return (F.when(both, 100).otherwise(0) + F.round(held(asked, rules.INPUT_FIELDS) * 200 / 3).cast("int") + held(thought, rules.FIVE_POINTS) * 60 + tone + length).cast("long")
+    def told(x):
+        tone = F.when(x.rlike(rules.PLAN_TONE), 150).otherwise(0) + F.when(held(x, rules.REVIEW_TONE) == 0, 150).otherwise(0)
+        length = let(count_of(x, charset), lambda n: F.when(n.between(300, 500), 100).when(n.between(250, 600), 50).otherwise(0))
+        return held(x, rules.FIVE_POINTS) * 60 + tone + length
+
+    fields = let(asked, lambda x: F.round(held(x, rules.INPUT_FIELDS) * 200 / 3).cast("int"))
+    return (F.when(both, 100).otherwise(0) + fields + let(thought, told)).cast("long")

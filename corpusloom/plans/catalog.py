@@ -181,8 +181,9 @@ def squeeze_blank(spark, sf_dir):
 
 @query(f"WITH {RAW_CLEAN} SELECT doc_id, md5(cleaned) AS cleaned, ({COUNT.format('cleaned')})::BIGINT AS n FROM raw_clean WHERE n >= 1200")
 def clean_raw_full(spark, sf_dir):
-    c = clean.clean_raw(F.col("body"))
-    return articles(spark, sf_dir).select("doc_id", c.alias("c")).select("doc_id", F.md5(F.col("c").cast("binary")).alias("cleaned"), t.count_of(F.col("c")).cast("long").alias("n")).where("n >= 1200")
+    both = t.let(clean.clean_raw(F.col("body")), lambda c: F.struct(F.md5(c.cast("binary")).alias("cleaned"), t.count_of(c).cast("long").alias("n")))
+    kept = F.filter(F.array(both), lambda r: r.n >= 1200)  # as a filter the cleaning would be planned twice
+    return articles(spark, sf_dir).select("doc_id", F.inline(kept))
 
 
 @query(f"""WITH {RAW_CLEAN}, c AS (SELECT lang, coalesce(starts_with(name, '早报'), false) AS skipped, coalesce({COUNT.format('cleaned')}, 0)::BIGINT AS n FROM raw_clean),
@@ -251,7 +252,8 @@ def clean_final_stats(spark, sf_dir):
 
 @query(f"""WITH {RECORDS} SELECT doc_id, status, md5(CASE WHEN status = 'cleaned' THEN '前言<article>' || chr(10) || f || chr(10) || '</article>后记 <article>二</article>' ELSE output END) AS output FROM cleaned WHERE status <> 'dropped'""")
 def clean_final_records(spark, sf_dir):
-    return _final(spark, sf_dir).where("r.status <> 'dropped'").select("doc_id", "r.status", F.md5(F.col("r.output").cast("binary")).alias("output"))
+    kept = _final(spark, sf_dir).select("doc_id", F.inline(F.filter(F.array("r"), lambda r: r.status != "dropped")))
+    return kept.select("doc_id", "status", F.md5(F.col("output").cast("binary")).alias("output"))
 
 
 def records(spark, sf_dir):

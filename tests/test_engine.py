@@ -6,13 +6,10 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as t
 from corpusloom.functions.rouge import lcs
-from corpusloom.operators import clean, dedup, metrics, scoring
+from corpusloom.operators import chat, clean, dedup, metrics, scan, scoring
 from corpusloom.plans import catalog
 
 SF = "/root/testdata/sf0.001"
-CHECKED = ("clean_raw_full", "clean_final_full", "scan_boilerplate_hits", "quality_gate_reasons", "route_teacher", "minhash_signature", "length_quantiles", "split_train_val", "ab_rank", "incremental_scores")
-
-
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -21,7 +18,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", CHECKED)
+@pytest.mark.parametrize("name", sorted(catalog.SQL))
 def test_query_equals_sql(spark, duck, name):
     got = catalog.QUERIES[name](spark, SF)
     want = duck.execute(catalog.SQL[name])
@@ -83,9 +80,9 @@ def test_raw_report_cleans_and_counts_kept_rows(spark, tmp_path):
     def text(n, cut=0):
         return "a" * n + ("\n精选留言\n" + "b" * cut if cut else "")
 
-    rows = [(5 + 280 * k, x, "en", s) for k, (x, s) in enumerate([(text(1300), "s"), (text(1500), "s"), (text(1400, 900), "s"), (text(100, 5000), "s"), (text(3000), "早报"), (None, "s"), (text(1200), None)])]
+    rows = [(5 + 15 * 11 * k, x, "en", s) for k, (x, s) in enumerate([(text(1300), "s"), (text(1500), "s"), (text(1400, 900), "s"), (text(100, 5000), "s"), (text(3000), "早报"), (None, "s"), (text(1200), None)])]
     spark.createDataFrame(rows + [(9000, "short", "zh", "s")], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
-    found = {r.lang: r for r in catalog.clean_raw_report(spark, str(tmp_path)).collect()}
+    found = {r.lang: r for r in catalog.clean_raw_stats(spark, str(tmp_path)).collect()}
     en, zh = found["en"], found["zh"]
     assert (en.total, en.zaobao, en.too_short, en.ok) == (7, 1, 2, 4)
     assert 1200 <= en.least < 1220 and 1400 <= en.median < 1420 and 1500 <= en.most < 1520
@@ -93,9 +90,9 @@ def test_raw_report_cleans_and_counts_kept_rows(spark, tmp_path):
     for where in (SF, str(tmp_path)):
         con = duckdb.connect()
         con.execute(f"CREATE VIEW documents AS FROM '{where}/documents.parquet{'' if where == SF else '/*.parquet'}'")
-        want = con.execute(catalog.SQL["clean_raw_report"])
+        want = con.execute(catalog.SQL["clean_raw_stats"])
         columns = [c[0] for c in want.description]
-        got = [tuple(r[c] for c in columns) for r in catalog.clean_raw_report(spark, where).collect()]
+        got = [tuple(r[c] for c in columns) for r in catalog.clean_raw_stats(spark, where).collect()]
         assert sorted(map(str, got)) == sorted(map(str, want.fetchall()))
     assert set(entry.entry(spark).columns) == set(columns)
 
@@ -137,3 +134,190 @@ def test_lcs():
 
     for a, b in (("abcde", "badce"), ("", "a"), ("aaaa", "aa"), ("xaybzc", "abc")):
         assert lcs(a, b) == slow(a, b)
+
+
+@pytest.mark.parametrize(
+    "line, want",
+    [
+        ("_ _ 题 _ _", "## 题"), ("_题_", "## 题"), ("__题__", "## 题"), ("_ 题 _ _", "## 题"), ("_" + "长" * 40 + "_", "_" + "长" * 40 + "_"), ("_" + "长" * 30 + "_", "## " + "长" * 30),
+        ("a _b_", "a _b_"), ("_a_ b", "_a_ b"), ("  _题_  ", "## 题"), ("", ""),
+    ],
+)
+def test_headings(spark, line, want):
+    assert one(spark, clean.fix_heading(F.lit(line))) == want
+
+
+def test_final_record_strips_first_and_keeps_what_follows(spark):
+    lines = ["行" * 400, "参考文献", "行" * 400]  # a marker on line 1 of 3 lies before the zone, which begins at 2
+    out = f"<thinking>t</thinking><article>\n\n{lines[0]}\n{lines[1]}\n{lines[2]}\n</article> after <article>x</article>"
+    got = one(spark, clean.final_record(F.lit(out)))
+    assert got.status == "untouched" and got.output == out
+    got = one(spark, clean.final_record(F.lit(out.replace(lines[0], lines[0] + "\n点个赞"))))
+    assert got.status == "cleaned" and got.output == "<thinking>t</thinking><article>\n" + "\n".join(lines) + "\n</article> after <article>x</article>"
+    assert one(spark, clean.final_record(F.lit("none"))).status == "untagged"
+
+
+def test_scan_takes_the_article_and_an_excerpt(spark):
+    text = "封面来源<article>" + "前" * 40 + "封面来源" + "后" * 60 + "\n尾行</article>扫码"
+    rows = spark.createDataFrame([("a", text), ("b", None), ("c", "x@y.zz")], "name string, output string")
+    got = {(r.name, r.rule): r.excerpt for r in scan.scan(rows).collect()}
+    assert got == {("a", "cover_source"): "前" * 30 + "封面来源" + "后" * 50, ("c", "email"): "x@y.zz"}
+
+
+def test_split_breaks_ties_and_counts(spark):
+    many = spark.range(100).selectExpr("7 as k", "id")
+    assert scoring.split(many, "k").where("split = 'val'").count() == 5
+    mixed = spark.range(3000).selectExpr("if(id < 2900, 1, id) as k", "id")
+    got = scoring.split(mixed, "k")
+    assert got.count() == 3000 and got.where("split = 'val'").count() == 150
+    assert scoring.split(spark.range(0), "id").count() == 0
+
+
+def test_by_index_equals_sorting(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [(rng.choice("ab"), rng.randrange(300)) for _ in range(2000)] + [("c", 5), ("c", None), (None, 9)]
+    df = spark.createDataFrame(rows, "g string, v int")
+    want = {g: sorted(v for x, v in rows if x == g and v is not None) for g in ("a", "b", "c", None)}
+    got = {r.g: r for r in metrics.by_index(df, ["g"], "v", {"m": metrics.upper_median(), "q": metrics.quantile_index(0.9)}).collect()}
+    for g, v in want.items():
+        assert (got[g].n, got[g].m, got[g].q) == (len(v), v[len(v) // 2], v[min(len(v) - 1, int(len(v) * 0.9))])
+    none = df.limit(0)
+    assert metrics.by_index(none, ["g"], "v", {"m": metrics.upper_median()}).count() == 0
+    assert metrics.by_index(none, [], "v", {"m": metrics.upper_median()}).collect() == [(None, None)]  # a total is one row
+
+
+def test_keep_first_of_one_hot_group(spark):
+    df = spark.range(500).selectExpr("id", "if(id % 3 = 0, '', cast(id as string)) as t", "id % 5 as p")
+    kept = {r.id for r in dedup.keep_first(df, ["t"], [F.col("p")], "id").where("kept").collect()}
+    assert kept == {0} | {x for x in range(500) if x % 3}
+
+
+def test_edges_equal_all_pairs(spark):
+    import random
+
+    rng = random.Random(3)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(200)) for _ in range(5)]
+    texts = [b[: rng.randrange(120, 200)] + "".join(rng.choice("xyz") for _ in range(rng.randrange(20))) for b in base for _ in range(8)] + ["", "abc"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    signed = dedup.signed(docs, F.col("k"), F.length("t"), F.col("t"), t.LETTER)
+    reps = dedup.classes(signed)
+    sigs = {r.name: (r.n, set(r.sig)) for r in reps.collect()}
+
+    def near(a, b):
+        low = sorted(a | b)[:128]
+        return len([x for x in low if x in a and x in b]) / len(low)
+
+    want = set()
+    for x, (n, a) in sigs.items():
+        for y, (m, b) in sigs.items():
+            if (m > n or (m == n and y < x)) and near(a, b) > 0.7:
+                want.add((x, y))
+    assert {(r.later, r.earlier) for r in dedup.edges(reps).collect()} == want and len(want) > 20
+
+
+def test_chat_retries_and_error_rows(spark):
+    tried, slept = [], []
+
+    def client(request):
+        tried.append(request)
+        raise RuntimeError("429 too many") if len(tried) < 3 else RuntimeError("bad request")
+
+    assert chat.attempt(client, chat.Request("", "q"), 5, 2.0, slept.append) == (None, "bad request", 3) and slept == [2.0, 4.0]
+    assert chat.attempt(lambda r: " ", chat.Request("", "q"), 3, 1.0, slept.append)[1].endswith("empty reply")
+    assert chat.attempt(lambda r: " x ", chat.Request("", "q"), 3, 1.0) == ("x", None, 1)
+
+    def flaky(request):
+        if "bad" in request.user:
+            raise ValueError("no")
+        return request.system + request.user + str(request.temperature)
+
+    rows = spark.createDataFrame([("a", 1), ("bad", 2), (None, 3)], "q string, answer int")
+    got = {r.q: r.answer for r in chat.ask(rows, flaky, "s", F.col("q"), "kimi", model="kimi-k2-x", threads=2).collect()}
+    assert got["a"].reply == "sa1.0" and got["bad"].error == "no" and got["bad"].tries == 1 and got[None].reply == "s1.0"
+    assert chat.ask(rows.limit(0), flaky, "s", F.col("q")).count() == 0
+
+
+def test_providers():
+    env = {"KIMI_API_KEY": "k", "QWEN_MODEL": "other", "DASHSCOPE_API_KEY": chat.PLACEHOLDER, "KIMI_BASE_URL": "http://x"}
+    assert chat.available(env) == ["kimi"]
+    assert chat.PROVIDERS["qwen"].model(env) == "other" and chat.PROVIDERS["kimi"].model(env) == "kimi-latest"
+    assert chat.PROVIDERS["kimi"].url(env) == "http://x" and chat.PROVIDERS["deepseek"].url(env) == "https://api.deepseek.com"
+
+
+def test_judge_pools_partial_marks(spark):
+    marks = spark.createDataFrame([("a", 1, 4.0, 2.0, 3.0, 0.0), ("a", 2, None, None, None, None), ("b", 1, 1.0, 1.0, 1.0, 1.0)], "tag string, idx int, depth double, evidence double, style double, clean double")
+    got = {(r.tag, r.dim): (r["mean"], r.n) for r in chat.judged(marks).collect()}
+    assert got["a", "all"] == (2.25, 4) and got["a", "depth"] == (4.0, 1) and got["b", "all"] == (1.0, 4)
+
+
+def test_token_length_by_a_tokenizer(spark):
+    text = chat.chat_text(F.lit("a"), F.lit("b"), F.lit("c"))
+    assert one(spark, text) == "<|im_start|>system\na<|im_end|>\n<|im_start|>user\nb<|im_end|>\n<|im_start|>assistant\nc<|im_end|>\n"
+    assert one(spark, chat.token_length(F.lit("a b c"), lambda x: len(x.split()))) == 3
+
+
+def test_sources(spark, tmp_path):
+    from corpusloom.sources import io
+
+    (tmp_path / "md").mkdir()
+    (tmp_path / "md/a.md").write_bytes("甲\r\n乙\ufffd".encode() + b"\xff\xfe end\r")
+    (tmp_path / "md/b.txt").write_text("no")
+    assert [tuple(r) for r in io.markdown(spark, f"{tmp_path}/md").collect()] == [("a.md", "甲\n乙\ufffd end\n")]
+    (tmp_path / "x.jsonl").write_text('{"instruction": "i", "input": "j", "output": "o"}\n\n{"instruction": "k"}\n')
+    assert sorted(r.instruction for r in io.json_lines(spark, f"{tmp_path}/x.jsonl").collect()) == ["i", "k"]
+    (tmp_path / "bad.jsonl").write_text('{"instruction": "i"}\n{broken\n')
+    with pytest.raises(Exception):
+        io.json_lines(spark, f"{tmp_path}/bad.jsonl").collect()
+    assert io.json_lines(spark, f"{tmp_path}/bad.jsonl", strict=False).where("instruction is not null").count() == 1
+    (tmp_path / "g.json").write_text('[{"idx": 0, "input": "a"},\n {"idx": 1, "input": "b"}]')
+    assert [r.idx for r in io.json_array(spark, f"{tmp_path}/g.json").orderBy("idx").collect()] == [0, 1]
+    (tmp_path / "topics.txt").write_text("# no\n\n  第一 \n第二\n")
+    assert io.first_topic(spark, f"{tmp_path}/topics.txt").first().topic == "第一" and io.topics(spark, f"{tmp_path}/topics.txt").count() == 2
+    (tmp_path / "p.txt").write_text("\n 提示 \n")
+    assert one(spark, io.prompt(spark, f"{tmp_path}/p.txt")) == "提示"
+    (tmp_path / "gemini_1.jsonl").write_text('{"instruction": "g"}\n')
+    (tmp_path / "gemini_2.jsonl").write_text('{"instruction": "h"}\n')
+    found = io.json_sources(spark, [(f"{tmp_path}/x.jsonl", "x", 0), (f"{tmp_path}/none.jsonl", "none", 1), (f"{tmp_path}/gemini_*.jsonl", "gemini_forward", 2)])
+    assert sorted((r.source, r.priority, r.instruction) for r in found.collect()) == [("gemini_forward", 2, "g"), ("gemini_forward", 2, "h"), ("x", 0, "i"), ("x", 0, "k")]
+    assert io.json_sources(spark, [(f"{tmp_path}/none.jsonl", "none", 1)]).count() == 0
+
+
+def test_sinks(spark, tmp_path):
+    import json
+
+    from corpusloom.sources import io
+
+    df = spark.createDataFrame([("a.md", "文", 1), ("b.md", "字", 2)], "name string, text string, n int")
+    io.write_documents(df, f"{tmp_path}/docs")
+    assert spark.read.parquet(f"{tmp_path}/docs").columns == ["name", "text"]
+    io.write_jsonl(df, f"{tmp_path}/out")
+    io.append_jsonl(df, f"{tmp_path}/out")
+    assert spark.read.json(f"{tmp_path}/out").count() == 4 and "文" in "".join(p.read_text() for p in (tmp_path / "out").glob("*.json"))
+    assert [io.write_version(df.where(f"n <= {k}"), f"{tmp_path}/v") for k in (1, 2)] == [1, 2]
+    assert io.read_version(spark, f"{tmp_path}/v").count() == 2 and io.read_version(spark, f"{tmp_path}/v", 1).count() == 1
+    assert json.loads(io.dataset_info({"train": "train.jsonl"}))["train"]["columns"] == {"prompt": "instruction", "query": "input", "response": "output"}
+    assert io.report({"T": df.select("name", "n").orderBy("n")}) == "## T\n\n| name | n |\n|---|---|\n| a.md | 1 |\n| b.md | 2 |\n"
+    made = chat.forward(spark.createDataFrame([("题 目/一",)], "topic string"), lambda r: "<thinking>x</thinking><article># y</article>")
+    io.write_generations(made, f"{tmp_path}/gen", "20240101_000000")
+    raw, records = spark.read.parquet(f"{tmp_path}/gen/raw").first(), spark.read.json(f"{tmp_path}/gen/records").first()
+    assert raw.key == records.key == "题_目_一_20240101_000000" and records.output.startswith("<thinking>\nx")
+
+
+def test_stream_goes_on_and_repeats_nothing(spark, tmp_path):
+    from corpusloom.streaming import incremental
+
+    def go():
+        return sorted(r.file for r in incremental.run(spark, f"{tmp_path}/in", "name string, n int", scoring.stub_scores, f"{tmp_path}/out", f"{tmp_path}/state").collect())
+
+    spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "name string, n int").write.parquet(f"{tmp_path}/in/1")
+    spark.createDataFrame([("a", 1), ("b", 2)], "name string, n int").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    assert go() == ["a", "b"]
+    spark.createDataFrame([("b", 2), ("c", 3)], "name string, n int").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    assert go() == ["a", "b", "c"] == go()
+    import shutil
+
+    shutil.rmtree(tmp_path / "state")  # a retried first batch writes its folder anew
+    shutil.rmtree(tmp_path / "out/batch=1")
+    assert go() == ["a", "b", "c"]
