@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.session import cut, discard, shared_dir, ship_package
+from corpusloom.session import cut, discard, shared_dir, ship_package, spread
 
-__all__ = ["cut", "discard", "fresh", "packed", "shared_dir", "shipped", "shuffle_partitions", "table", "unpacked"]
+__all__ = ["cut", "discard", "fresh", "packed", "shared_dir", "shipped", "shuffle_partitions", "spread", "table", "unpacked"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

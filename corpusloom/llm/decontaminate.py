@@ -5,8 +5,8 @@ word, stays or moves on. Words that agree keep two walks together and a few edit
 distance becomes Hamming distance. A repetition samples SAMPLES steps of its own walk as a key; equal keys are candidates.
 
 Items are put into classes by their words, [a, 1.5 a). A class looks at the windows of W = a - S + 1 words at every S-th
-word of a document, S = a // 2: whatever holds an item whole then holds a window of it at one of its first S offsets, and
-the items are indexed at every offset. Windows of an item's full size would have to start at every word, which costs
+word of a document, S = a // 2 (but for long items W = STEP + 1, S = STEP): whatever holds an item whole then holds a window
+of it at one of its first S offsets, and the items are indexed at every offset. Windows of an item's full size would have to start at every word, which costs
 several times as many steps a word. The number of repetitions is the least that finds the target share of items with as
 many of their words edited at random as a match may have, measured on the items themselves; if no number does, that is an
 error. Each candidate is verified by the exact edit distance, in words, between the item and the best passage around it.
@@ -29,6 +29,8 @@ from corpusloom.llm._common import shipped
 SIMILARITY, RECALL, SAMPLES = 0.8, 0.92, 3
 #: Repetitions beyond which the target counts as out of reach, which is an error; edited items that measure the recall.
 REPETITIONS, PROBES = 64, 2000
+#: The step of long items' windows: edits would part the walks of longer ones.
+STEP = 26
 #: Items of fewer words are looked for exactly, word by word. Words of the items that one broadcast holds.
 MIN_WORDS, BLOCK_WORDS = 5, 200_000
 #: Words of documents that are looked at together.
@@ -95,8 +97,8 @@ class Index:
         while a <= longest:
             b = max(a + 1, a * 3 // 2)
             if held := [k for k, w in enumerate(self.words) if a <= len(w) < b]:
-                step = max(1, a // 2)
-                self.classes.append((a - step + 1, step, held))
+                step = max(1, min(a // 2, STEP))
+                self.classes.append((min(a - a // 2, STEP) + 1, step, held))
             a = b
         self.repetitions, self.keys = 1, {}
         rng = np.random.default_rng(3)
