@@ -11,6 +11,9 @@ that two documents share can repeat. That makes three passes over chunks of abou
    The bucket answers each chunk with a bit per window.
 3. Each chunk marks the bytes that repeated windows cover.
 
+The contexts of a gram that many chunks share would meet in one bucket. Every window has thirteen bytes more on one side of
+its gram, so such a gram's windows are dealt out by the gram and those bytes, to the left or to the right of it.
+
 Sharing is found by hash and only widens the search; the decision always compares bytes. A string that thousands of
 documents share costs a context per chunk, not one per document or pair.
 """
@@ -33,6 +36,8 @@ WIDTH = CONTEXT + 2  # and the first and last window that a context has
 CHUNK, SEGMENT = 1_000_000, 1 << 19
 #: Bytes of text for each bucket, and the size of a group in which a suffix's depth is shallow.
 BUCKET_BYTES, SHALLOW = 5_000_000, 40
+#: A gram in more chunks is dealt out by the SIDE bytes beside it.
+HOT, SIDE = 64, SPAN // 2
 NO_ID = np.iinfo(np.int64).max
 
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -105,22 +110,38 @@ class Chunk:
 
     def contexts(self, shared: np.ndarray, buckets: int):
         """Distinct contexts of the shared grams, by bucket: (n, WIDTH) bytes, bucket of each, least id; and for each occurrence
-        its place, first and last window, its context and its id."""
+        its place, first and last window, its context and its id. The lowest bit of a shared hash tells that it is hot."""
         shared = np.sort(shared)
-        held = np.zeros(len(self.hashes), bool)
+        plain = shared & ~np.uint64(1)
+        held, hot = np.zeros(len(self.hashes), bool), np.zeros(0, bool)
         if len(shared) and len(held):
-            held = shared[np.minimum(np.searchsorted(shared, self.hashes), len(shared) - 1)] == self.hashes
+            place = np.minimum(np.searchsorted(plain, self.hashes), len(plain) - 1)
+            held = plain[place] == self.hashes
             held &= self.ends[self.doc] - self.starts[self.doc] >= LENGTH
+            hot = (shared[place] & np.uint64(1)).astype(bool)[held]
         at, doc, h = self.at[held], self.doc[held], self.hashes[held]
         first = np.maximum(0, SPAN - (self.ends[doc] - at - GRAM)).astype(np.int64)  # bytes left of the gram, at least and at most
         last = np.minimum(SPAN, at - self.starts[doc]).astype(np.int64)
+        # the windows of a hot gram that have SIDE bytes to its left, and the others, which have more than that to its right
+        left, right = hot & (last >= SIDE), hot & (first < SIDE)
+        side = np.concatenate((np.zeros((~hot).sum(), np.int8), np.full(left.sum(), 1, np.int8), np.full(right.sum(), 2, np.int8)))
+        at, doc, h, first, last = (np.concatenate((x[~hot], x[left], x[right])) for x in (at, doc, h, first, last))
+        first = np.where(side == 1, np.maximum(first, SIDE), first)
+        last = np.where(side == 2, np.minimum(last, SIDE - 1), last)
         rows = np.zeros((len(at), WIDTH), np.uint8)
         padded = np.concatenate((np.zeros(SPAN, np.uint8), self.text, np.zeros(SPAN + GRAM, np.uint8)))
         rows[:, :CONTEXT] = np.lib.stride_tricks.sliding_window_view(padded, CONTEXT)[at]
-        edge = np.flatnonzero((first > 0) | (last < SPAN))  # a document begins or ends here
+        edge = np.flatnonzero((first > 0) | (last < SPAN))  # no window has the bytes beyond
         column = np.arange(CONTEXT)
         rows[edge, :CONTEXT] *= (column >= (SPAN - last[edge])[:, None]) & (column < CONTEXT - first[edge][:, None])
         rows[:, CONTEXT], rows[:, CONTEXT + 1] = first, last
+        for k, low in ((1, SPAN - SIDE), (2, SPAN + GRAM)):
+            chosen = side == k
+            beside = np.zeros((chosen.sum(), 16), np.uint8)
+            beside[:, :SIDE] = rows[chosen, low : low + SIDE]
+            word = beside.view("<u8")
+            mixed = (h[chosen] ^ word[:, 0] * _MULTIPLIERS[0] ^ word[:, 1] * _MULTIPLIERS[1]) * _MULTIPLIERS[2]
+            h[chosen] = mixed ^ (mixed >> np.uint64(29))
         bucket = (h % np.uint64(buckets)).astype(np.int64)
         digest = _row_digest(rows)
         order = np.lexsort((digest[1], digest[0], bucket))
@@ -367,11 +388,12 @@ def _answer_grams(key, data):
     every = np.concatenate(lists)
     plain, times = np.unique(every & ~np.uint64(1), return_counts=True)
     shared = np.union1d(plain[times > 1], every[(every & np.uint64(1)) == 1] & ~np.uint64(1))
+    hot = shared | np.isin(shared, plain[times > HOT], assume_unique=True).astype(np.uint64)  # told by the lowest bit
     out = []
     for c, h in zip(data.column("chunk").to_pylist(), lists):
         h = h & ~np.uint64(1)
         at = np.minimum(np.searchsorted(shared, h), len(shared) - 1)
-        if len(shared) and len(found := h[shared[at] == h]):
+        if len(shared) and len(found := hot[at[shared[at] == h]]):
             out.append((c, _packed(found)))
     return pa.table({"chunk": pa.array([x[0] for x in out], pa.string()), "shared": pa.array([x[1] for x in out], pa.binary())})
 
