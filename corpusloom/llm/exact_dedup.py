@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm._common import cut, shuffle_partitions
+from corpusloom.llm._common import cut, discard, shuffle_partitions
 
 #: Characters of a text that the splitters see; slices that an average partition would hold; rows and bytes that a slice always may have.
 PREFIX, SLICES, LEAST_ROWS, LEAST_BYTES = 48, 4, 100, 100_000
@@ -68,8 +68,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     unless its group has no other; then keep_id is null and kept true. An empty table gives no rows; other columns are
     ignored.
     """
-    rows, _ = cut(normalised(docs, id_col, text_col), "normalised")
+    rows, at = cut(normalised(docs, id_col, text_col), "normalised")
     found, _ = cut(neighbours(rows, hot(rows, least_rows, least_bytes)), "neighbours")
+    discard(docs.sparkSession, at)
     slices = found.where("first and salt is not null").select("norm", "text_sha256", "n", F.when(F.col("least.id").isNotNull(), F.col("least")).alias("least"))
     # a minimum over a struct makes the planner sort the slices and compare neighbours
     whole = slices.groupBy("norm").agg(F.min("least").alias("least"), F.sum("n").alias("group_size"), F.first("text_sha256").alias("text_sha256"))
