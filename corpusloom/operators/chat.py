@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 from corpusloom.functions import text as t
 from corpusloom.session import ship_package
 
-# Which errors are worth another try, and the providers' settings.
+# Which errors are worth another try, how the tasks ask, and the providers' settings.
+SCORE_ASKS, REVERSE_ASKS = "请评估以下文章：\n\n", "请反推以下文章的写作任务和构思：\n\n"
 RETRYABLE = ("503", "UNAVAILABLE", "429", "rate", "timeout", "Timeout")
 PLACEHOLDER = "your-api-key-here"
 
@@ -160,7 +161,7 @@ def score(docs: DataFrame, client: Callable[[Request], str] = stub_scorer, syste
 
     A reply without the four keys, or with numbers that aren't any, is an error row.
     """
-    user = F.concat(F.lit("请评估以下文章：\n\n"), F.substring("text", 1, n_chars))
+    user = F.concat(F.lit(SCORE_ASKS), F.substring("text", 1, n_chars))
     asked = ask(docs, client, system, user, **({"temperature": 0.1, "max_tokens": 1024, "threads": 6} | settings))
     d = asked.select(F.col("name").alias("file"), t.count_of(F.col("text"), charset).cast("int").alias("chars"), "answer", t.reply_scores(F.col("answer.reply")).alias("s"))
     error = F.when(F.col("answer.error").isNotNull(), F.col("answer.error")).when(F.col("s").isNull(), "unusable reply")
@@ -174,7 +175,7 @@ def reverse(docs: DataFrame, client: Callable[[Request], str] = stub_writer, sys
     """
     article = t.strip(F.col("text"))
     own = docs.select("name", article.alias("article"), t.route_teacher(F.col("name"), F.length(article)).alias("teacher"))
-    asked = ask(own, client, system, F.concat(F.lit("请反推以下文章的写作任务和构思：\n\n"), F.col("article")), F.col("teacher"), **settings)
+    asked = ask(own, client, system, F.concat(F.lit(REVERSE_ASKS), F.col("article")), F.col("teacher"), **settings)
     d = asked.select("name", "article", "teacher", t.tag(F.col("answer.reply"), "input").alias("input"), t.tag(F.col("answer.reply"), "thinking").alias("thinking"))
     from corpusloom.operators import clean
 
