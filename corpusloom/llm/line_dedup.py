@@ -43,7 +43,8 @@ def drop_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text"
     becomes empty. Repeated rows are pages each. An empty table gives no rows; other columns pass through, whatever their
     names, but for those called as n_lines and n_removed say, which are replaced.
     """
-    bad, _ = cut(boilerplate(docs, host_col, text_col, one_in, repeat).select("host", "line_md5", "host_pages"), "boilerplate")
+    found = boilerplate(docs, host_col, text_col, one_in, repeat).select("host", "line_md5", "host_pages")
+    bad, _ = cut(found.repartition(max(1, shuffle_partitions(docs.sparkSession) // 16)), "boilerplate")  # far fewer rows than the partitions that found them
     per_host = bad.groupBy("host").agg(F.collect_list("line_md5").alias("bad"), F.first("host_pages").alias("host_pages"))
     own = packed(docs, text_col, text=F.col(text_col).cast("string"), own_host=F.col(host_col))
     if bad.count() <= broadcast_lines:
