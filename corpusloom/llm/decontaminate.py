@@ -16,12 +16,14 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh64_intdigest
 
 from corpusloom.llm._common import shipped
 
@@ -59,8 +61,6 @@ def words(text: str | None) -> list[bytes]:
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
-
         if len(self) > 300_000:
             self.clear()
         self[word] = h = xxh64_intdigest(word, 1) | 1
@@ -161,7 +161,9 @@ class Index:
                 hashes += map(seen.__getitem__, self.words[k])
             keys = self.embed(c, r, np.array(hashes + self._padding(), np.uint64), np.array(starts, np.int64))
             order = np.argsort(keys, kind="stable")
-            self.keys[c, r] = keys[order], np.array(of, np.int64)[order]
+            held_low = np.zeros(1 << max(12, (16 * len(keys)).bit_length()), bool)  # which low bits the keys have
+            held_low[keys & np.uint64(len(held_low) - 1)] = True
+            self.keys[c, r] = keys[order], np.array(of, np.int64)[order], held_low
 
     def candidates(self, texts: list[list[bytes]], repetitions=None) -> list[set[tuple[int, int]]]:
         """For each text, (item's place, word where the item would begin), by all repetitions or some."""
@@ -170,19 +172,22 @@ class Index:
         if not first[-1]:
             return out
         seen = self.__dict__.setdefault("_seen", _Hashes())
-        hashes = np.concatenate((np.fromiter((seen[w] for t in texts for w in t), np.uint64, int(first[-1])), np.array(self._padding(), np.uint64)))
+        hashes = np.concatenate((np.fromiter(map(seen.__getitem__, chain.from_iterable(texts)), np.uint64, int(first[-1])), np.array(self._padding(), np.uint64)))
         for c, (size, step, _) in enumerate(self.classes):
             starts = np.concatenate([np.arange(a, b - size + 1, step) for a, b in zip(first[:-1], first[1:])])
             if not starts.size:
                 continue
             for r in repetitions or range(self.repetitions):
-                keys, of = self.keys[c, r]
+                keys, of, held_low = self.keys[c, r]
                 made = self.embed(c, r, hashes, starts)
-                left = np.searchsorted(keys, made)
-                for at in np.flatnonzero(keys[np.minimum(left, len(keys) - 1)] == made):
-                    text = int(np.searchsorted(first, starts[at], "right")) - 1
-                    for item, offset in of[left[at] : np.searchsorted(keys, made[at], "right")]:
-                        out[text].add((int(item), int(starts[at] - first[text] - offset)))
+                maybe = np.flatnonzero(held_low[made & np.uint64(len(held_low) - 1)])  # most windows end here
+                made, begun = made[maybe], starts[maybe]
+                left, right = np.searchsorted(keys, made), np.searchsorted(keys, made, "right")
+                where = np.searchsorted(first, begun, "right") - 1
+                for at in np.flatnonzero(left < right):
+                    text = int(where[at])
+                    for item, offset in of[left[at] : right[at]]:
+                        out[text].add((int(item), int(begun[at] - first[text] - offset)))
         return out
 
     def __getstate__(self):
