@@ -217,6 +217,36 @@ def test_edges_equal_all_pairs(spark):
     assert {(r.later, r.earlier) for r in dedup.edges(reps).collect()} == want and len(want) > 20
 
 
+def test_edges_of_several_blocks_write_no_candidates(spark, tmp_path, monkeypatch):
+    """Sketches of a small vocabulary share single hashes with all others; only pairs are written, whatever block they lie in."""
+    import random
+    from pathlib import Path
+
+    rng = random.Random(4)
+    words = [rng.randrange(-(2**63), 2**63) for _ in range(600)]
+
+    def near(a, b):
+        low = sorted(a | b)[:128]
+        return len([x for x in low if x in a and x in b]) / len(low)
+
+    sigs = []
+    for _ in range(60):
+        own = rng.sample(words, rng.choice([1, 2, 6, 12, 17, 18, 60, 127, 200, 300]))
+        for _ in range(4):
+            sigs.append(sorted({x for x in own if rng.random() > 0.08} | set(rng.sample(words, len(own) // 12)) or {own[0]})[:128])
+    rows = [(k, k % 7, s) for k, s in enumerate(sigs)] + [(9000, 1, None)]
+    reps = spark.createDataFrame(rows, "name long, n long, sig array<long>").repartition(3)
+    want = {(x, y): near(set(a), set(b)) for x, n, a in rows[:-1] for y, m, b in rows[:-1] if m > n or (m == n and y < x)}
+    want = {k: v for k, v in want.items() if v > 0.7}
+    monkeypatch.setattr(dedup, "BLOCK", 50)
+    monkeypatch.setattr(dedup, "AT_ONCE", 16)
+    monkeypatch.setattr(dedup, "shared_dir", lambda spark: f"file://{tmp_path}")
+    got = {(r.later, r.earlier): r.similarity for r in dedup.edges(reps).collect()}
+    assert got == want and len(want) > 100
+    written = spark.read.parquet(*[f"{p}" for p in Path(tmp_path).glob("corpusloom-pairs-*")])
+    assert written.count() == len(want)
+
+
 def test_chat_retries_and_error_rows(spark):
     tried, slept = [], []
 
