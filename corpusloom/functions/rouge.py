@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -13,10 +10,10 @@ from pyspark.sql.types import DoubleType
 def lcs(a: str, b: str) -> int:
     """Length of the longest common subsequence, at any length; of the longer text a machine word or more at once.
 
-    A text that lies in the other as a subsequence is settled in one pass; all else takes the product of the lengths.
+    A text that lies in the other, in one piece or as a subsequence, is settled in one pass; all else takes the product of the lengths.
     """
     a, b = (a, b) if len(a) >= len(b) else (b, a)
-    if a == b or _within(b, a):
+    if b in a or _within(b, a):
         return len(b)
     codes = np.frombuffer(a.encode("utf-32-le"), np.uint32)
     places = {c: int.from_bytes(np.packbits(codes == ord(c), bitorder="little").tobytes(), "little") for c in set(b)}
@@ -37,11 +34,13 @@ def _within(part: str, whole: str) -> bool:
 
 
 def rouge_l(a: str | None, b: str | None) -> float:
-    x, y = (re.sub(r"\s", "", t or "") for t in (a, b))
+    x, y = ("".join((t or "").split()) for t in (a, b))
     n = lcs(x, y) if x and y else 0
     return 2 * n / (len(x) + len(y)) if n else 0.0
 
 
-@F.pandas_udf(DoubleType())
-def rouge_l_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([rouge_l(x, y) for x, y in zip(a, b)])
+@F.arrow_udf(DoubleType())
+def rouge_l_udf(a, b):
+    import pyarrow as pa
+
+    return pa.array([rouge_l(x.as_py(), y.as_py()) for x, y in zip(a, b)], pa.float64())  # one pair of a batch as text at a time
