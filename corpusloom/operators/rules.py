@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusloom.functions.words import holds, looked_up
+
 # The rules' patterns and word lists define the results.
 RAW_LINE_DROP = (
     r"^!\[.*?\]\(.*?\)\s*$",
@@ -68,6 +70,8 @@ EVAL = (
     r"(?m)^\[?\d+\]?\s*.{0,80}https?://",
 )
 FIVE_POINTS = ("核心矛盾", "读者痛点", "文章结构", "语气定位", "关键素材")
+#: PLAN_TONE's words that are a match by themselves, and the two that its last part needs.
+PLAN_WORDS, PLAN_AROUND = ("打算", "准备", "我会"), ("先", "再")
 PLAN_TONE, REVIEW_TONE = r"打算|准备|我会|先.{0,12}再", ("本文", "这篇文章", "文章讲述", "作者认为")
 META_PHRASES = ("Analyze the Request", "Thesis Generation", "Drafting Process", "Final Polish")
 INPUT_FIELDS = ("主题：", "受众：", "要求：")
@@ -120,5 +124,23 @@ def is_tail_junk(line: Column) -> Column:
     return _any([line.rlike("(?d)(?U)" + p) for p in TAIL_JUNK] + [is_noise(line)])
 
 
-def eval_hits(text: Column) -> Column:
-    return reduce(lambda a, b: a + b, [found(text, p).cast("int") for p in EVAL])
+#: For each of EVAL's patterns the words, one of which each match holds; those of the PLAIN ones are the pattern.
+EVAL_WORDS = {EVAL[0]: _PLAIN[EVAL[0]], EVAL[1]: NEEDS[EVAL[1]], EVAL[2]: ("未经授权", "不得转载", "本文来自", "本文来源", "授权发布"), EVAL[3]: _PLAIN[EVAL[3]], EVAL[4]: NEEDS[EVAL[4]]}
+EVAL_PLAIN = (EVAL[0], EVAL[2], EVAL[3])
+
+
+def eval_words(text: Column) -> Column:
+    """struct<found, han> of a text, for eval_hits."""
+    return looked_up(text, sum(EVAL_WORDS.values(), ()))
+
+
+def eval_hits(text: Column, found: Column | None = None) -> Column:
+    """How many of EVAL's patterns are in the text; found is that of eval_words, where the caller has it."""
+    found = eval_words(text).found if found is None else found
+    every = sum(EVAL_WORDS.values(), ())
+
+    def hit(p):
+        some = holds(found, every, *EVAL_WORDS[p])
+        return (some if p in EVAL_PLAIN else some & text.rlike(r"(?d)(?U)" + p)).cast("int")
+
+    return reduce(lambda a, b: a + b, map(hit, EVAL))

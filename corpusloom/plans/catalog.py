@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import text as t
 from corpusloom.functions.rouge import rouge_l_udf
 from corpusloom.operators import chat, clean, dedup, metrics, rules, scan, scoring
-from corpusloom.session import shared_dir, spread
+from corpusloom.session import shared_dir, ship_package, spread
 from corpusloom.sources.io import table, union_sources
 
 LATIN, HAN_FOR = "abcdefghijklmnopqrstuvwxyz", "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余"
@@ -364,6 +364,7 @@ HITS = " + ".join(f"regexp_matches(generated, '{p}')::INT" for p in rules.EVAL)
 
 
 def generations(spark, sf_dir):
+    ship_package(spark)
     each = F.array(*[F.struct(F.lit(n).alias("tag"), c.alias("generated")) for n, c in (("base", F.concat(F.lit("作者：某某\n"), "han")), ("v1", F.col("body")), ("v2", F.col("han")))])
     return articles(spark, sf_dir).select(F.col("doc_id").alias("idx"), F.concat(F.lit("https"), "lang", F.lit("\n"), "lang").alias("input"), F.col("han").alias("reference"), F.explode(each).alias("g")).select("g.tag", "idx", "input", "reference", "g.generated")
 
@@ -378,14 +379,16 @@ TAGS = ("base", "v1", "v2", "v3")  # no generation has the last
 
 @query(f"WITH {GEN} SELECT " + ", ".join(f"avg({HITS}) FILTER (tag = '{x}') AS {x}_hits, avg({COUNT.format('generated')}) FILTER (tag = '{x}') AS {x}_len" for x in TAGS) + " FROM gen")
 def eval_matrix(spark, sf_dir):
-    g = generations(spark, sf_dir).withColumns({"h": rules.eval_hits(F.col("generated")), "l": t.count_of(F.col("generated"))})
+    p = generations(spark, sf_dir).select("tag", "generated", rules.eval_words(F.col("generated")).alias("p"))
+    g = p.select("tag", rules.eval_hits(F.col("generated"), F.col("p.found")).alias("h"), F.col("p.han").alias("l"))
     return g.groupBy().pivot("tag", list(TAGS)).agg(F.avg("h").alias("hits"), F.avg("l").alias("len"))
 
 
 @query()
 def eval_matrix_rouge(spark, sf_dir):
     """All cells: mean ROUGE-L, hits and length of each tag; a tag without generations has nulls."""
-    g = generations(spark, sf_dir).withColumns({"r": rouge_l_udf("generated", "reference"), "h": rules.eval_hits(F.col("generated")), "l": t.count_of(F.col("generated"))})
+    p = generations(spark, sf_dir).select("tag", "generated", rouge_l_udf("generated", "reference").alias("r"), rules.eval_words(F.col("generated")).alias("p"))
+    g = p.select("tag", "r", rules.eval_hits(F.col("generated"), F.col("p.found")).alias("h"), F.col("p.han").alias("l"))
     return g.groupBy().pivot("tag", list(TAGS)).agg(F.round(F.avg("r"), 6).alias("rouge_l"), F.avg("h").alias("hits"), F.avg("l").alias("len"))
 
 
@@ -668,7 +671,8 @@ def _ab(spark, sf_dir):
     d = articles(spark, sf_dir).select("doc_id", "han", providers.alias("provider"))
     thought = F.concat(F.when(F.col("provider") == "kimi", "本文").otherwise("核心矛盾 语气定位 打算"), F.lit(" "), "han")
     raw = F.concat(F.lit("<input>主题：题\n受众：众"), F.when(F.col("provider") != "qwen", "\n要求：求").otherwise(""), F.lit("</input><thinking>"), thought, F.lit("</thinking>"))
-    return d.select("provider", "doc_id", clean.ab_score(raw).alias("score"))
+    ship_package(spark)
+    return d.select("provider", "doc_id", raw.alias("raw")).select("provider", "doc_id", clean.ab_score(F.col("raw")).alias("score"))
 
 
 AB = f"""{ARTICLES}, ab AS (

@@ -136,6 +136,15 @@ def test_lcs():
         assert lcs(a, b) == slow(a, b)
 
 
+def test_lcs_of_a_text_in_another_searches_once(monkeypatch):
+    from corpusloom.functions import rouge
+
+    monkeypatch.setattr(rouge, "_within", lambda *a: pytest.fail("went through the text character by character"))
+    text = "天地玄黄" * 5000
+    assert lcs("作者" + text + "点个", text) == lcs(text, "玄" + text + "x") == len(text)
+    assert rouge.rouge_l("a\u3000b\x1cc \n", "abc") == 1.0
+
+
 @pytest.mark.parametrize(
     "line, want",
     [
@@ -247,6 +256,40 @@ def test_edges_of_several_blocks_write_no_candidates(spark, tmp_path, monkeypatc
     assert written.count() == len(want)
 
 
+def test_ab_score_equals_its_patterns(spark):
+    """Tags that are missing or in a wrong order, tones and lengths: the score by plain patterns, of each text and none."""
+    import re
+
+    from corpusloom.operators import rules
+
+    def slow(raw):
+        found = [re.search(f"(?s)<{x}>(.*?)</{x}>", raw) for x in ("input", "thinking")]
+        asked, thought = (m[1] if m else "" for m in found)
+        n = len(re.findall("[\u4e00-\u9fff]", thought))
+        return (100 if all(found) else 0) + round(sum(w in asked for w in rules.INPUT_FIELDS) * 200 / 3) + sum(w in thought for w in rules.FIVE_POINTS) * 60 + (150 if re.search(rules.PLAN_TONE, thought) else 0) + (
+            150 if not any(w in thought for w in rules.REVIEW_TONE) else 0) + (100 if 300 <= n <= 500 else 50 if 250 <= n <= 600 else 0)
+
+    made = ["", "<input>", "</input><input>主题：", "<input>主题：</input>", "<input>a<input>要求：</input>b</input><thinking>先做再看</thinking>", "<thinking>先\n再</thinking>", "<thinking>本文</thinking><input></input>"]
+    made += [f"<input>主题：受众：</input><thinking>核心矛盾{w}{'字' * k}x</thinking>" for k in (0, 246, 300, 496, 600, 700) for w in ("我会", "先" + "a" * 13 + "再", "作者认为准备")] + ["本文<thinking>x</thinking>打算"]
+    rows = spark.createDataFrame([(x,) for x in made] + [(None,)], "raw string")
+    got = {r.raw: r.score for r in rows.select("raw", clean.ab_score(F.col("raw")).alias("score")).collect()}
+    assert got == {x: slow(x) for x in made} | {None: None}
+    assert "RLike(raw" not in (plan := rows.select(clean.ab_score(F.col("raw")))._jdf.queryExecution().toString()) and "ArrowEvalPython" in plan
+
+
+def test_eval_hits_equal_their_patterns(spark):
+    from corpusloom.functions import words
+    from corpusloom.operators import rules
+
+    made = ["", "作者：某某\n文", "说作者", "  ** 编辑 | x", "本文来自", "本文来x未经授权", "封面图点个", "[1] 见 https://x", "文 1 http://", "小爱心\n12 a http://b", "责编\u3000：", "🙂授权发布\n\u2003校对\uff5c"]
+    rows = spark.createDataFrame([(x,) for x in made] + [(None,)], "x string")
+    slow = sum((F.col("x").rlike("(?d)(?U)" + p).cast("int") for p in rules.EVAL), F.lit(0))
+    got = rows.select("x", rules.eval_hits(F.col("x")).alias("a"), slow.alias("b"), rules.eval_words(F.col("x")).han.alias("n"), t.count_of(F.col("x")).alias("m"), rules.eval_words(F.col("x")).found.alias("w")).collect()
+    assert all(r.a == r.b and r.n == r.m for r in got) and max(r.b or 0 for r in got) == 2
+    every = sum(rules.EVAL_WORDS.values(), ())
+    assert {r.x: r.w for r in got} == {x: words.look(x, every)[0] for x in made} | {None: None}
+
+
 def test_chat_retries_and_error_rows(spark):
     tried, slept = [], []
 
