@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import HAN, count_of, let, rstrip, splitlines, strip, tag
+from corpusloom.functions.text import HAN, between, count_of, let, rstrip, splitlines, strip, tag
+from corpusloom.functions.words import holds, looked_up
 from corpusloom.operators import rules
 
 
@@ -140,20 +139,15 @@ def without_prefix(docs, name: str = "name", prefix: str = rules.TITLE_PREFIX):
 
 def ab_score(raw: Column, charset: str = HAN) -> Column:
     """The ten-point rubric in hundredths: format, five points, tone, length."""
-    return let(raw, lambda x: _points(x, charset))
-
-
-def _points(raw: Column, charset: str) -> Column:
-    asked, thought = F.regexp_extract(raw, "(?s)<input>(.*?)</input>", 1), F.regexp_extract(raw, "(?s)<thinking>(.*?)</thinking>", 1)
-    both = raw.rlike("(?s)<input>.*?</input>") & raw.rlike("(?s)<thinking>.*?</thinking>")
-
-    def held(c, words):
-        return reduce(lambda a, b: a + b, [F.contains(c, F.lit(w)).cast("int") for w in words])
-
-    def told(x):
-        tone = F.when(x.rlike(rules.PLAN_TONE), 150).otherwise(0) + F.when(held(x, rules.REVIEW_TONE) == 0, 150).otherwise(0)
-        length = let(count_of(x, charset), lambda n: F.when(n.between(300, 500), 100).when(n.between(250, 600), 50).otherwise(0))
-        return held(x, rules.FIVE_POINTS) * 60 + tone + length
-
-    fields = let(asked, lambda x: F.round(held(x, rules.INPUT_FIELDS) * 200 / 3).cast("int"))
-    return (F.when(both, 100).otherwise(0) + fields + let(thought, told)).cast("long")
+    asked, thought = between(raw, "input"), between(raw, "thinking")
+    words = (*rules.FIVE_POINTS, *rules.REVIEW_TONE, *rules.PLAN_WORDS, *rules.PLAN_AROUND)
+    seen = looked_up(thought, words)
+    n = seen.han if charset == HAN else count_of(thought, charset)
+    both = asked.isNotNull() & thought.isNotNull()
+    planned = holds(seen.found, words, *rules.PLAN_WORDS) | (holds(seen.found, words, rules.PLAN_AROUND[0]) & holds(seen.found, words, rules.PLAN_AROUND[1]) & thought.rlike(rules.PLAN_TONE))
+    length = F.when(n.between(300, 500), 100).when(n.between(250, 600), 50).otherwise(0)
+    told = sum((holds(seen.found, words, w).cast("int") for w in rules.FIVE_POINTS), F.lit(0)) * 60 + F.when(planned, 150).otherwise(0)
+    told = told + F.when(~holds(seen.found, words, *rules.REVIEW_TONE), 150).otherwise(0) + length
+    told = F.coalesce(told, F.when(raw.isNotNull(), 150))  # without a thought there is no wrong tone
+    fields = let(F.coalesce(asked, F.when(raw.isNotNull(), "")), lambda x: F.round(sum((F.contains(x, F.lit(w)).cast("int") for w in rules.INPUT_FIELDS), F.lit(0)) * 200 / 3).cast("int"))
+    return (F.when(both, 100).otherwise(0) + fields + told).cast("long")
