@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import hashlib
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,9 @@ from corpusloom.session import ship_package
 SCORE_ASKS, REVERSE_ASKS = "请评估以下文章：\n\n", "请反推以下文章的写作任务和构思：\n\n"
 RETRYABLE = ("503", "UNAVAILABLE", "429", "rate", "timeout", "Timeout")
 PLACEHOLDER = "your-api-key-here"
+ANSWER = T.StructType([T.StructField("reply", T.StringType()), T.StructField("error", T.StringType()), T.StructField("tries", T.IntegerType()), T.StructField("elapsed", T.DoubleType())])
+#: Questions of a batch that a worker holds as text at once.
+AT_ONCE = 256
 
 
 @dataclass(frozen=True)
@@ -101,30 +105,39 @@ def ask(
 ) -> DataFrame:
     """rows with one more column, answer: struct<reply, error, tries, elapsed>. A null question is asked as an empty one.
 
-    threads ask at once in each task, tasks (if given) is how many tasks do. Columns of rows pass through; an answer column
-    of theirs is replaced.
+    threads ask at once in each task, tasks (if given) is how many tasks do. Columns of rows stay in the JVM and only the
+    questions go to Python, where AT_ONCE of them are text at a time; an answer column of rows is replaced.
     """
     ship_package(rows.sparkSession)
     system, provider = (F.lit(x) if isinstance(x, str) else x for x in (system, provider))
-    kept = [c for c in rows.columns if c.lower() != "answer"]
-    own = rows.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), *[F.coalesce(x.cast("string"), F.lit("")).alias(n) for n, x in (("system", system), ("user", user), ("provider", provider))])
-    own = own.repartition(tasks) if tasks else own
-    fields = "reply string, error string, tries int, elapsed double"
-
-    def run(batches):
-        def one(question):
-            began = time.monotonic()
-            chosen = model or (PROVIDERS[question.provider].default_model if question.provider in PROVIDERS else "")
-            request = Request(question.system, question.user, question.provider, chosen, temperature_for(question.provider, chosen, temperature), max_tokens)
-            return (*attempt(client, request, retries, backoff_s), time.monotonic() - began)
+    kept = [F.col(f"`{c}`") for c in rows.columns if c.lower() != "answer"]
+    own = rows.repartition(tasks) if tasks else rows
 
+    def one(question):
+        began = time.monotonic()
+        told, asked, name = question
+        chosen = model or (PROVIDERS[name].default_model if name in PROVIDERS else "")
+        request = Request(told, asked, name, chosen, temperature_for(name, chosen, temperature), max_tokens)
+        return (*attempt(client, request, retries, backoff_s), time.monotonic() - began)
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         with ThreadPoolExecutor(threads) as pool:
-            for b in batches:
-                answers = list(pool.map(one, b[["system", "user", "provider"]].itertuples(index=False)))
-                yield pd.DataFrame({"row": b["row"], "answer": [dict(zip(("reply", "error", "tries", "elapsed"), a)) for a in answers]})
+            for questions in batches:
+                yield pa.concat_arrays([_answers(pool.map(one, part)) for part in _parts(questions)] or [_answers([])])
+
+    answer = F.arrow_udf(run, ANSWER).asNondeterministic()  # a question is asked once, whatever uses its answer
+    return own.select(*kept, answer(*[F.coalesce(x.cast("string"), F.lit("")) for x in (system, user, provider)]).alias("answer"))
+
+
+def _parts(columns):
+    """Rows of Arrow columns as tuples, in lists of AT_ONCE rows."""
+    for start in range(0, len(columns[0]), AT_ONCE):
+        yield list(zip(*[c.slice(start, AT_ONCE).to_pylist() for c in columns]))
+
 
-    schema = T.StructType([own.schema["row"], T.StructField("answer", T._parse_datatype_string(fields))])
-    return own.mapInPandas(run, schema).select("row.*", "answer")
+def _answers(found) -> pa.Array:
+    columns = list(zip(*found)) or [()] * 4
+    return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int32(), pa.float64()))], ["reply", "error", "tries", "elapsed"])
 
 
 def _digits(request: Request) -> list[int]:
@@ -207,7 +220,8 @@ def judge(generations: DataFrame, client: Callable[[Request], str] = stub_judge,
     """tag, idx and a mark for each of DIMENSIONS of generations (tag, idx, input, generated); 0 for a missing mark, null all where the reply is no JSON."""
     topic = F.substring(F.split("input", "\n")[0], 1, 60)
     user = F.concat(F.lit("文章主题："), topic, F.lit("\n\n文章正文：\n"), F.substring("generated", 1, n_chars))
-    asked = ask(generations, client, system, user, **({"provider": "gemini", "temperature": 0.1, "max_tokens": 2048} | settings))
+    own = generations.select("tag", "idx", user.alias("question"))  # the texts themselves stay behind
+    asked = ask(own, client, system, F.col("question"), **({"provider": "gemini", "temperature": 0.1, "max_tokens": 2048} | settings))
     body = F.regexp_extract("answer.reply", r"(?s)\{.*?\}", 0)
     d = asked.select("tag", "idx", F.when(body != "", body).alias("body"))
     marks = [F.when(F.col("body").isNotNull(), F.coalesce(F.get_json_object("body", f"$.{k}").try_cast("double"), F.lit(0.0))).alias(k) for k in DIMENSIONS]

@@ -312,6 +312,27 @@ def test_chat_retries_and_error_rows(spark):
     assert chat.ask(rows.limit(0), flaky, "s", F.col("q")).count() == 0
 
 
+def test_ask_sends_questions_alone_and_each_once(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    at = f"{tmp_path}/asked"
+
+    def client(request):
+        with open(at, "a") as f:
+            f.write(request.user + "\n")
+        return request.user[::-1]
+
+    rows = spark.range(700).selectExpr("id", "repeat('long', 1000) as text", "named_struct('a', id) as other", "1 as Answer")
+    asked = chat.ask(rows, client, "s", F.col("id").cast("string"), threads=2)
+    plan = asked._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" in plan and "MapInPandas" not in plan and asked.columns == ["id", "text", "other", "answer"]
+    twice = asked.select("id", F.length("text").alias("n"), "other.a", "answer.reply", "answer.tries", F.col("answer.reply").alias("again")).collect()
+    assert sorted(open(at).read().split()) == sorted(str(k) for k in range(700))
+    assert {(r.id, r.n, r.a, r.reply, r.tries, r.again) for r in twice} == {(k, 4000, k, str(k)[::-1], 1, str(k)[::-1]) for k in range(700)}
+    monkeypatch.setattr(chat, "AT_ONCE", 3)
+    assert list(map(len, chat._parts([pa.array(list("abcdefgh"))]))) == [3, 3, 2]
+
+
 def test_providers():
     env = {"KIMI_API_KEY": "k", "QWEN_MODEL": "other", "DASHSCOPE_API_KEY": chat.PLACEHOLDER, "KIMI_BASE_URL": "http://x"}
     assert chat.available(env) == ["kimi"]
