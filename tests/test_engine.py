@@ -256,6 +256,38 @@ def test_edges_of_several_blocks_write_no_candidates(spark, tmp_path, monkeypatc
     assert written.count() == len(want)
 
 
+def test_pairs_are_never_shuffled(spark):
+    """Key and rank stand beside each pair when it is found: what edges() returns is read and projected, whatever the number of pairs."""
+    reps = spark.createDataFrame([(f"k{k}", k % 3, list(range(k, k + 128))) for k in range(40)], "name string, n int, sig array<long>")
+    found = dedup.edges(reps)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    want = {(f"k{x}", f"k{y}") for x in range(40) for y in range(40) if (y % 3 > x % 3 or (y % 3 == x % 3 and f"k{y}" < f"k{x}")) and (128 - abs(x - y)) / 128 > 0.7}
+    assert {(r.later, r.earlier) for r in found.collect()} == want and len(want) > 500
+
+
+def test_greedy_looks_at_decided_pairs_no_more(spark, monkeypatch):
+    """A cluster that is decided at once leaves no pair to the rounds that a chain needs; the choice is that of a plain loop."""
+    pairs = [(f"c{i:02}", f"c{j:02}") for i in range(40) for j in range(i)] + [(f"d{i + 1}", f"d{i}") for i in range(6)]
+    held, own = [], dedup.cut
+
+    def cut(df, label="cut"):
+        out = own(df, label)
+        if label == "edges":
+            held.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(dedup, "cut", cut)
+    names = sorted({x for p in pairs for x in p} | {"alone"})
+    want = {}
+    for x in names:
+        want[x] = not any(want[y] for z, y in pairs if z == x)
+    reps = spark.createDataFrame([(x,) for x in names], "name string")
+    assert {r.name: r.kept for r in dedup.greedy(reps, spark.createDataFrame(pairs, "later string, earlier string")).collect()} == want
+    assert held == [786, 4, 2, 0]
+    none = spark.createDataFrame([], "later string, earlier string")
+    assert all(r.kept for r in dedup.greedy(reps, none).collect())
+
+
 def test_ab_score_equals_its_patterns(spark):
     """Tags that are missing or in a wrong order, tones and lengths: the score by plain patterns, of each text and none."""
     import re
