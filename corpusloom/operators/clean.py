@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import HAN, between, count_of, let, rstrip, splitlines, strip, tag
-from corpusloom.functions.words import holds, looked_up
+from corpusloom.functions.words import holds, tagged
 from corpusloom.operators import rules
 
 
@@ -139,15 +139,15 @@ def without_prefix(docs, name: str = "name", prefix: str = rules.TITLE_PREFIX):
 
 def ab_score(raw: Column, charset: str = HAN) -> Column:
     """The ten-point rubric in hundredths: format, five points, tone, length."""
-    asked, thought = between(raw, "input"), between(raw, "thinking")
     words = (*rules.FIVE_POINTS, *rules.REVIEW_TONE, *rules.PLAN_WORDS, *rules.PLAN_AROUND)
-    seen = looked_up(thought, words)
+    tags = tagged(raw, input=rules.INPUT_FIELDS, thinking=words)
+    asked, seen, thought = tags.input, tags.thinking, between(raw, "thinking")
     n = seen.han if charset == HAN else count_of(thought, charset)
-    both = asked.isNotNull() & thought.isNotNull()
+    both = asked.isNotNull() & seen.isNotNull()
     planned = holds(seen.found, words, *rules.PLAN_WORDS) | (holds(seen.found, words, rules.PLAN_AROUND[0]) & holds(seen.found, words, rules.PLAN_AROUND[1]) & thought.rlike(rules.PLAN_TONE))
     length = F.when(n.between(300, 500), 100).when(n.between(250, 600), 50).otherwise(0)
     told = sum((holds(seen.found, words, w).cast("int") for w in rules.FIVE_POINTS), F.lit(0)) * 60 + F.when(planned, 150).otherwise(0)
     told = told + F.when(~holds(seen.found, words, *rules.REVIEW_TONE), 150).otherwise(0) + length
     told = F.coalesce(told, F.when(raw.isNotNull(), 150))  # without a thought there is no wrong tone
-    fields = let(F.coalesce(asked, F.when(raw.isNotNull(), "")), lambda x: F.round(sum((F.contains(x, F.lit(w)).cast("int") for w in rules.INPUT_FIELDS), F.lit(0)) * 200 / 3).cast("int"))
+    fields = F.round(F.bit_count(F.coalesce(asked.found, F.when(raw.isNotNull(), F.lit(0)).cast("long"))) * 200 / 3).cast("int")
     return (F.when(both, 100).otherwise(0) + fields + told).cast("long")

@@ -309,6 +309,22 @@ def test_ab_score_equals_its_patterns(spark):
     assert "RLike(raw" not in (plan := rows.select(clean.ab_score(F.col("raw")))._jdf.queryExecution().toString()) and "ArrowEvalPython" in plan
 
 
+def test_tags_are_found_beside_the_words(spark):
+    """tagged() sees what between() gives and the words in it; the rubric's texts go to Python as they are, without a search before."""
+    from corpusloom.functions import words
+
+    made = ["", "<a>", "</a><a>天地x</a>y</a>", "<a></a><b>地\n🙂\U00020000天</b>", "<a>天<b>地</a>天</b>", "<a><a>x</a></a>", "<b>龥\u4dff\u9fff\ua000</b>", "<b>天</b", "🙂<a>\ue000\uffff地</a>"]
+    rows = spark.createDataFrame([(x,) for x in made] + [(None,)], "x string")
+    seen = words.tagged(F.col("x"), a=("天",), b=("地", "天"))
+    got = rows.select("x", seen.a.alias("a"), seen.b.alias("b"), t.between(F.col("x"), "a").alias("in_a"), t.between(F.col("x"), "b").alias("in_b")).collect()
+    for r in got:
+        for held, inner, own in ((r.a, r.in_a, ("天",)), (r.b, r.in_b, ("地", "天"))):
+            assert (held and tuple(held)) == (None if inner is None else (sum(1 << i for i, w in enumerate(own) if w in inner), sum("\u4e00" <= c <= "\u9fff" for c in inner)))
+    assert sum(r.a is not None for r in got) == 5 and len(got) == 10
+    plan = rows.select(clean.ab_score(F.col("x")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "each(x#" in plan and plan.count("substring_index(x#") + plan.count("substring_index(substring(x#") <= 1
+
+
 def test_eval_hits_equal_their_patterns(spark):
     from corpusloom.functions import words
     from corpusloom.operators import rules
